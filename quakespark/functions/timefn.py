@@ -43,8 +43,7 @@ def parse_iso(text) -> Column:
 def parts_to_iso(yr, mo, dy, hr, mi, sc) -> Column:
     """ISO text with milliseconds; rounding may print the second as 60.000."""
     return F.format_string(
-        "%04d-%02d-%02dT%02d:%02d:%sZ", _c(yr), _c(mo), _c(dy), _c(hr), _c(mi),
-        F.lpad(F.format_number(_c(sc), "0.000"), 6, "0"),
+        "%04d-%02d-%02dT%02d:%02d:%06.3fZ", _c(yr), _c(mo), _c(dy), _c(hr), _c(mi), _c(sc).cast("double")
     )
 
 

@@ -166,12 +166,13 @@ def candidate_pairs(
 # Common picks of a pair
 
 
-def match_picks(pairs: DataFrame, picks: DataFrame, stations: DataFrame, params: PairParams) -> DataFrame:
+def match_picks(pairs: DataFrame, first: DataFrame, stations: DataFrame, params: PairParams) -> DataFrame:
     """Common (station, phase) of both events of a pair, with the outcome of J5, F7 and F8.
 
+    ``first`` are the first picks of every (event, station, phase), see ``first_picks``.
+
     ``status`` is 'ok', 'unknown' (station not in the list), 'far' or 'outlier'.
     """
-    first = first_picks(picks)
     a = first.select(
         F.col("id").alias("id1"), "sta", "phase", F.col("tt").alias("t1"), F.col("weight").alias("w1")
     )
@@ -288,7 +289,7 @@ def _location_heads(events: DataFrame, size: int) -> DataFrame:
 
 
 def staged_neighbours(
-    events: DataFrame, picks: DataFrame, stations: DataFrame, params: PairParams, start_radius: float, hot_cell: int
+    events: DataFrame, first: DataFrame, stations: DataFrame, params: PairParams, start_radius: float, hot_cell: int
 ) -> DataFrame:
     """W1 without forming all pairs of a dense region.
 
@@ -325,7 +326,7 @@ def staged_neighbours(
         pairs = near.filter(~F.col("cut")).select(
             "id1", "id2", "ord1", "ord2", "sep", "mid_lat", "mid_lon"
         ).dropDuplicates(["id1", "id2"])
-        counts = pair_counts(match_picks(pairs, picks, stations, params)).drop("ord1", "ord2", "sep")
+        counts = pair_counts(match_picks(pairs, first, stations, params)).drop("ord1", "ord2", "sep")
         safe = (
             near.filter(~F.col("cut"))
             .join(edge, "ev", "left")
@@ -350,18 +351,28 @@ def staged_neighbours(
 
 
 def linked_pairs(
-    events: DataFrame, picks: DataFrame, stations: DataFrame, params: PairParams, hot_cell: int = HOT_CELL
+    events: DataFrame, first: DataFrame, stations: DataFrame, params: PairParams, hot_cell: int = HOT_CELL
 ) -> DataFrame:
     """E2 up to W1: which event pairs are linked, by how many observations.
 
-    Expects events and picks after F4 and F5. Dense catalogs take the staged search.
+    Expects events after F5 and first picks after F4. Dense catalogs take the staged search.
     """
     peak = _peak_density(events, params.max_sep, params.km_per_deg)
     if peak <= hot_cell:
         pairs = candidate_pairs(events, params.max_sep, params.km_per_deg, hot_cell=None)
-        return select_neighbours(pair_counts(match_picks(pairs, picks, stations, params)), params)
+        return select_neighbours(pair_counts(match_picks(pairs, first, stations, params)), params)
     halvings = math.ceil(math.log2(peak / hot_cell) / 2)
-    return staged_neighbours(events, picks, stations, params, params.max_sep / 2**halvings, hot_cell)
+    return staged_neighbours(events, first, stations, params, params.max_sep / 2**halvings, hot_cell)
+
+
+def pairing_inputs(
+    events: DataFrame, picks: DataFrame, params: PairParams, ids: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Events after F5 and first picks after F4, written once because pairing reads them many times."""
+    used = usable_picks(picks, params.min_weight)
+    chosen = checkpointed(select_events(events, used, params.min_obs, ids))
+    first = checkpointed(first_picks(used.join(chosen.select("id"), "id", "left_semi")))
+    return chosen, first
 
 
 # ---------------------------------------------------------------------------------------------
@@ -372,14 +383,13 @@ def differential_times(
     events: DataFrame, picks: DataFrame, stations: DataFrame, params: PairParams, ids: DataFrame | None = None
 ) -> DataFrame:
     """Catalog links id1, id2, sta, phase, t1, t2, qual, sep of the selected pairs."""
-    used = usable_picks(picks, params.min_weight)
-    chosen = select_events(events, used, params.min_obs, ids)
-    pairs = linked_pairs(chosen, used, stations, params)
-    return nearest_links(pairs, chosen, used, stations, params)
+    chosen, first = pairing_inputs(events, picks, params, ids)
+    pairs = checkpointed(linked_pairs(chosen, first, stations, params))
+    return nearest_links(pairs, chosen, first, stations, params)
 
 
 def nearest_links(
-    pairs: DataFrame, events: DataFrame, picks: DataFrame, stations: DataFrame, params: PairParams
+    pairs: DataFrame, events: DataFrame, first: DataFrame, stations: DataFrame, params: PairParams
 ) -> DataFrame:
     """Per pair the ``max_obs`` links at the nearest stations; important links come first and on top."""
     def place(n: int) -> DataFrame:
@@ -397,7 +407,7 @@ def nearest_links(
             ((F.col("lon1") + F.col("lon2")) / 2).alias("mid_lon"),
         )
     )
-    rows = match_picks(located, picks, stations, params).filter(F.col("status") == "ok")
+    rows = match_picks(located, first, stations, params).filter(F.col("status") == "ok")
     nearest = W.partitionBy("id1", "id2").orderBy("rank_dist", "sta", "phase")
     return (
         rows.withColumn("rank_dist", F.when(F.col("important"), 0.0).otherwise(F.col("dist")))
@@ -416,17 +426,16 @@ def selection_funnel(
     events: DataFrame, picks: DataFrame, stations: DataFrame, params: PairParams
 ) -> DataFrame:
     """One row (metric, value) per stage of pairing."""
-    used = usable_picks(picks, params.min_weight)
-    chosen = select_events(events, used, params.min_obs)
+    chosen, first = pairing_inputs(events, picks, params)
     candidates = candidate_pairs(chosen, params.max_sep, params.km_per_deg)
-    matched = match_picks(candidates, used, stations, params)
+    matched = checkpointed(match_picks(candidates, first, stations, params))
     counts = pair_counts(matched)
     walk = walked(directed(counts), params)
-    reached = walk.filter(F.col("strong_before") < params.max_neighbours)
-    pairs = _written_pairs(reached, params)
+    reached = checkpointed(walk.filter(F.col("strong_before") < params.max_neighbours))
+    pairs = checkpointed(_written_pairs(reached, params))
     looked_at = reached.select("id1", "id2").distinct()
     seen = matched.join(looked_at, ["id1", "id2"], "left_semi")
-    links = nearest_links(pairs, chosen, used, stations, params)
+    links = nearest_links(pairs, chosen, first, stations, params)
     strong = (
         reached.groupBy("ev").agg(F.count_if(F.col("n_links") >= params.min_links).alias("n"))
         .filter(F.col("n") >= params.max_neighbours)

@@ -121,6 +121,11 @@ def spreads(links: DataFrame, keys: list[str], large: bool = True) -> DataFrame:
     return med.join(mad, by)
 
 
+def needs_spread(p: IterationParams) -> bool:
+    """Whether a residual cutoff is a multiple of the MAD (limits of 1 and more)."""
+    return any(c is not None and c >= 1 for c in (p.res_cc, p.res_ct))
+
+
 def weights(links: DataFrame, p: IterationParams, keys: list[str] | None = None, large: bool = True) -> DataFrame:
     """Column ``wt``. Needs idx, qual, res and offs_m."""
     keys = keys or []
@@ -131,7 +136,7 @@ def weights(links: DataFrame, p: IterationParams, keys: list[str] | None = None,
         wt = wt.withColumn("wt", F.col("wt") * distance_factor(F.col("offs_m"), p))
     if p.res_cc is None and p.res_ct is None:
         return wt
-    if any(c is not None and c >= 1 for c in (p.res_cc, p.res_ct)):
+    if needs_spread(p):
         spread = spreads(links, keys, large).select(*keys, F.col("cc").alias("_cc"), "mad")
         for k in keys:
             spread = spread.withColumnRenamed(k, f"_{k}")

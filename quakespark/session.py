@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,10 +23,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+def scratch_path(spark: SparkSession, kind: str) -> str:
+    """A new path under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/quakespark-{kind}-{uuid.uuid4().hex}"
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to a table in the shared checkpoint folder and read it back.
+
+    Cuts the lineage like ``checkpoint()``, and the reader starts with real sizes for its join choices and
+    without the constraints of the old plan, which grow from round to round in iterative jobs.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def local_session(cores: str = "8", app: str = "quakespark", **conf: str) -> SparkSession:
