@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quakespark.params import IterationParams
+from quakespark.session import checkpointed
 
 # MAD of Gaussian noise, and the weight below which residuals are not weighted.
 MAD_SCALE = 0.67449
@@ -129,6 +130,8 @@ def needs_spread(p: IterationParams) -> bool:
 def weights(links: DataFrame, p: IterationParams, keys: list[str] | None = None, large: bool = True) -> DataFrame:
     """Column ``wt``. Needs idx, qual, res and offs_m."""
     keys = keys or []
+    if needs_spread(p):
+        links = checkpointed(links)     # read for the medians, the deviations and the weights
     wt = links.withColumn("wt", prior_weight(p))
     if not p.reweights:
         return wt

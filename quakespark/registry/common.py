@@ -9,12 +9,13 @@ from quakespark.operators import links as lnk
 from quakespark.operators import pairing, prepare, raytrace, weights
 from quakespark.params import IterationParams, LinkParams
 from quakespark.registry.core import PAIRING, Tables
+from quakespark.session import checkpointed
 
 # Constant-speed model of the checks, and the weights of one iteration.
 VP, VS = 6.0, 6.0 / 1.73
 STRAIGHT = [(1, 0.0, VP, VS)]
 STEP = IterationParams(
-    last=1, w_ccp=1.0, w_ccs=0.5, w_ctp=0.8, w_cts=0.4, res_cc=6.0, res_ct=0.9, dist_cc=4.0, dist_ct=6.0, damp=20.0)
+    last=1, w_ccp=1.0, w_ccs=0.5, w_ctp=0.8, w_cts=0.4, res_cc=6.0, res_ct=0.9, dist_cc=30.0, dist_ct=6.0, damp=20.0)
 
 
 def used_picks(t: Tables) -> DataFrame:
@@ -67,7 +68,7 @@ def residual_links(t: Tables) -> DataFrame:
 
 
 def weighted_links(t: Tables) -> DataFrame:
-    return weights.weights(residual_links(t), STEP, [])
+    return checkpointed(weights.weights(residual_links(t), STEP, []))
 
 
 LOADER = LinkParams(

@@ -282,7 +282,7 @@ def a20(t):
 # --- clusters ---------------------------------------------------------------------------------------
 
 _COMP = """
-strong AS (SELECT least(id1, id2) AS a, greatest(id1, id2) AS b, count(*) AS n FROM ct GROUP BY 1, 2 HAVING count(*) >= 29),
+strong AS (SELECT least(id1, id2) AS a, greatest(id1, id2) AS b, count(*) AS n FROM ct GROUP BY 1, 2 HAVING count(*) >= 31),
 edge AS (SELECT a, b FROM strong UNION SELECT b, a FROM strong),
 reach AS (SELECT DISTINCT a AS id, a AS root FROM edge UNION SELECT e.b, r.root FROM reach r JOIN edge e ON e.a = r.id),
 comp AS (SELECT id, min(root) AS component FROM reach GROUP BY id),
@@ -296,7 +296,7 @@ def _components_sql(select: str) -> str:
 
 def _components(t):
     links = lnk.one_table(None, c.catalog_links(t))
-    strong = cluster.pair_strength(links).filter(F.col("n_links") >= 29)
+    strong = cluster.pair_strength(links).filter(F.col("n_links") >= 31)
     return cluster.connected_components(strong.select("a", "b"))
 
 
@@ -318,7 +318,7 @@ def a5(t):
     SELECT e.id, CAST(n.cluster_id AS BIGINT) AS cluster_id FROM v_event e LEFT JOIN comp c ON c.id = e.id
     LEFT JOIN numbered n ON n.component = c.component"""))
 def w5(t):
-    return cluster.cluster_events(lnk.one_table(None, c.catalog_links(t)), t("v_event"), 0, 29)
+    return cluster.cluster_events(lnk.one_table(None, c.catalog_links(t)), t("v_event"), 0, 31)
 
 
 @query("A6_centroids", q.views("""

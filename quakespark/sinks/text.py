@@ -23,8 +23,9 @@ def write_header_detail(headers: DataFrame, details: DataFrame, path: str) -> No
 
     Rows are ranged by key, so a record never spans two part files and no record is gathered in memory.
     """
-    head = headers.select("key", F.lit(0).alias("kind"), F.lit(0).cast("bigint").alias("seq"), "line")
-    body = details.select("key", F.lit(1).alias("kind"), F.col("seq").cast("bigint").alias("seq"), "line")
+    body = details.select("key", F.lit(1).alias("kind"), "seq", "line")
+    no_seq = F.lit(None).cast(details.schema["seq"].dataType)
+    head = headers.select("key", F.lit(0).alias("kind"), no_seq.alias("seq"), "line")
     (
         head.unionByName(body)
         .repartitionByRange("key")
