@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quakespark.functions import geo
 from quakespark.params import LinkParams
+from quakespark.session import checkpointed
 
 # Fixed value: origin time correction that marks a pair without one.
 NO_OTC = -999.0
@@ -211,6 +212,8 @@ def load_links(
     links = one_table(cc if params.data != "ct" else None, ct if params.data != "cc" else None)
     links = known_stations(known_pairs(keep_phases(links, params.phases), events), near)
     links = with_separation(links, events, params.km_per_deg)
-    links = close_pairs(links, params.max_sep_cc, params.max_sep_ct)
-    links = geometry_filter(links, events, near, params)
+    # written here and after the gap filter, because both results are read several times
+    links = checkpointed(close_pairs(links, params.max_sep_cc, params.max_sep_ct))
+    kept = geometry_filter(links, events, near, params)
+    links = links if kept is links else checkpointed(kept)
     return links, linked_events(links, events), linked_stations(links, near)

@@ -101,9 +101,15 @@ CELL = ["_b", "_x", "_z"]
 
 
 def _blocked(probe: DataFrame, resident: DataFrame, hot_cell: int | None) -> DataFrame:
-    """Equi-join on the cell; cells with more than ``hot_cell`` residents are split by a salt."""
+    """Equi-join on the cell; cells with more than ``hot_cell`` residents are split by a salt.
+
+    Probes are spread over all shuffle partitions first: few rows go in, many pairs come out, and every
+    later step of a pair runs where the pair was formed.
+    """
+    spark = probe.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     if hot_cell is None:
-        return probe.join(resident, CELL)
+        return probe.repartition(n, *CELL).join(resident, CELL)
     fans = (
         resident.groupBy(*CELL)
         .agg(F.count(F.lit(1)).alias("_n"))
@@ -117,7 +123,7 @@ def _blocked(probe: DataFrame, resident: DataFrame, hot_cell: int | None) -> Dat
     spread = probe.join(fans, CELL, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), fan - 1))
     ).drop("_fan")
-    return spread.join(salted, [*CELL, "_salt"])
+    return spread.repartition(n, *CELL, "_salt").join(salted, [*CELL, "_salt"])
 
 
 def _prefixed(df: DataFrame, prefix: str, extra: tuple[str, ...] = ()) -> DataFrame:

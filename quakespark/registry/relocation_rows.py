@@ -332,10 +332,16 @@ def _solver_input(t):
     return rows.withColumn("fix1", F.lit(0)).withColumn("fix2", F.lit(0))
 
 
+def _solved(t, method):
+    links = _solver_input(t)
+    large = checkpointed(solve.large_clusters(links, "cluster_id"))
+    return solve.solve(links, "cluster_id", c.STEP.damp, method, None if large.isEmpty() else large)
+
+
 @query("R14_lsqr")
 def r14(t):
-    """Damped least squares of all links, one task per cluster."""
-    return solve.solve(_solver_input(t), "cluster_id", c.STEP.damp)
+    """Damped least squares of all links: one task while they are few, joins and sums beyond."""
+    return _solved(t, "lsqr")
 
 
 @query("R14_distributed")
@@ -347,7 +353,8 @@ def r14_distributed(t):
 
 @query("R16_svd")
 def r16(t):
-    return solve.solve(_solver_input(t), "cluster_id", c.STEP.damp, method="svd")
+    """Dense singular value decomposition; systems beyond its limits are solved like R14."""
+    return _solved(t, "svd")
 
 
 RUN = RelocationParams(schedule=(SCHEDULE[0], replace(SCHEDULE[1], last=3)), min_cc=0, min_ct=8)
