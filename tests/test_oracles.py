@@ -1,17 +1,31 @@
-"""Every registered query against its SQL counterpart on the smallest test tables."""
+"""Registered queries against their SQL counterparts on the smallest test tables.
+
+Queries over the whole link chain take some seconds each even on tiny tables; the default run covers a few of
+them, ``QUAKESPARK_ALL_QUERIES=1`` all.
+"""
+
+import os
 
 import pytest
 
 import compare
 from quakespark.registry import ORACLES, QUERIES
 
+CHAIN_SAMPLE = {"W1_linked_pairs", "W2_differential_times", "A4_components", "A9_rms", "R13_column_norms", "J6_J7_loaded_links"}
+
+
+def _chosen():
+    if os.environ.get("QUAKESPARK_ALL_QUERIES"):
+        return sorted(ORACLES)
+    return sorted(n for n, sql in ORACLES.items() if "matched AS" not in sql or n in CHAIN_SAMPLE)
+
 
 @pytest.fixture(scope="module")
 def con():
     return compare.database()
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
+@pytest.mark.parametrize("name", _chosen())
 def test_matches_sql(spark, con, name):
     got = compare.spark_rows(QUERIES[name](spark, compare.DATA))
     assert compare.differences(got, compare.sql_rows(con, ORACLES[name])) == ""
