@@ -15,7 +15,7 @@ from quakespark.session import checkpointed
 VP, VS = 6.0, 6.0 / 1.73
 STRAIGHT = [(1, 0.0, VP, VS)]
 STEP = IterationParams(
-    last=1, w_ccp=1.0, w_ccs=0.5, w_ctp=0.8, w_cts=0.4, res_cc=6.0, res_ct=0.9, dist_cc=30.0, dist_ct=6.0, damp=20.0)
+    last=1, w_ccp=1.0, w_ccs=0.5, w_ctp=0.8, w_cts=0.4, res_cc=6.0, res_ct=0.05, dist_cc=30.0, dist_ct=6.0, damp=20.0)
 
 
 def used_picks(t: Tables) -> DataFrame:

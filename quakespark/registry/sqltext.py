@@ -116,12 +116,12 @@ med AS (SELECT idx <= 2 AS cc, median(res) AS med FROM res GROUP BY idx <= 2),
 mad AS (SELECT m.cc, m.med, median(abs(r.res - m.med)) / 6.7449e-1 AS mad
         FROM res r JOIN med m ON m.cc = (r.idx <= 2) GROUP BY m.cc, m.med)"""
 
-# weights with type weights 1, 0.5, 0.8, 0.4, cutoffs of 6 MAD (cc) and 0.9 s (ct), limits 30 km (cc) and 6 km (ct)
+# weights with type weights 1, 0.5, 0.8, 0.4, cutoffs of 6 MAD (cc) and 0.05 s (ct), limits 30 km (cc) and 6 km (ct)
 WEIGHT_STEPS = SPREAD_STEPS + """,
 prior AS (
   SELECT r.*, r.qual * (CASE idx WHEN 1 THEN 1e0 WHEN 2 THEN 5e-1 WHEN 3 THEN 8e-1 ELSE 4e-1 END)
          * (CASE WHEN idx <= 2 THEN pow(1e0 - pow(offs_m / 3e4, 5), 5) ELSE pow(1e0 - pow(offs_m / 6e3, 3), 3) END) AS w1,
-         CASE WHEN idx <= 2 THEN 6e0 * m.mad ELSE 9e-1 END AS cutoff
+         CASE WHEN idx <= 2 THEN 6e0 * m.mad ELSE 5e-2 END AS cutoff
   FROM res r JOIN mad m ON m.cc = (r.idx <= 2)),
 wres AS MATERIALIZED (
   SELECT *, CASE WHEN w1 > 1e-6 THEN w1 * pow(1e0 - pow(abs(res) / cutoff, 3), 3) ELSE w1 END AS wt FROM prior)"""
