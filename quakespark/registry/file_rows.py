@@ -247,7 +247,7 @@ def s13_stations(t):
 def s14(t):
     path = _path(t, "mapping")
     sink.write_csv(t("v_event").select(
-        F.col("id").cast("string").alias("event_id"), (F.col("id") + 100000).alias(tables.MAPPING_NAMES[1][0])), path)
+        F.col("id").cast("string").alias("event_id"), (F.col("id") + 100000).alias("number_id")), path)
     return tables.read_id_mapping(t.spark, path)
 
 

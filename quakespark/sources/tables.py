@@ -53,20 +53,28 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-# The two column namings of an id mapping, (integer id, original id).
-MAPPING_NAMES = (("synthetic_id", "original_id"), ("hypodd_id", "event_id"))
+def mapping_columns(columns: list[str]) -> tuple[str, str] | None:
+    """(integer id, original id) columns of an id mapping, None when neither naming fits.
+
+    Older files name them synthetic_id and original_id; newer ones call the original event_id and the
+    integer by any other name that ends in _id.
+    """
+    if {"synthetic_id", "original_id"} <= set(columns):
+        return "synthetic_id", "original_id"
+    others = [c for c in columns if c.endswith("_id") and c != "event_id"]
+    return (others[0], "event_id") if "event_id" in columns and len(others) == 1 else None
 
 
 def read_id_mapping(spark: SparkSession, path: str) -> DataFrame:
-    """Id mapping under either column naming, as original_id, synthetic_id."""
+    """Id mapping under either column naming, as original_id, synthetic_id; empty for other files."""
     raw = spark.read.csv(path, header=True)
-    for number, original in MAPPING_NAMES:
-        if number in raw.columns and original in raw.columns:
-            return raw.select(
-                F.col(original).cast("string").alias("original_id"),
-                F.col(number).cast("bigint").alias("synthetic_id"),
-            )
-    return raw.sparkSession.createDataFrame([], "original_id string, synthetic_id bigint")
+    found = mapping_columns(raw.columns)
+    if found is None:
+        return spark.createDataFrame([], "original_id string, synthetic_id bigint")
+    number, original = found
+    return raw.select(
+        F.col(original).cast("string").alias("original_id"), F.col(number).cast("bigint").alias("synthetic_id")
+    )
 
 
 def read_station_list(spark: SparkSession, path: str) -> DataFrame:

@@ -78,7 +78,7 @@ def test_station_models(spark, tmp_path):
 
 
 def test_both_mapping_namings(spark, tmp_path):
-    for (number, original), name in zip(tables.MAPPING_NAMES, "ab"):
+    for (number, original), name in zip((("synthetic_id", "original_id"), ("number_id", "event_id")), "ab"):
         path = write(tmp_path, f"{name}.csv", [f"{original},{number}", "x1,100000"])
         assert [tuple(r) for r in tables.read_id_mapping(spark, path).collect()] == [("x1", 100000)]
     other = write(tmp_path, "c.csv", ["a,b", "1,2"])
