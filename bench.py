@@ -7,11 +7,11 @@ import os
 import time
 
 from quakespark import adapter
-from quakespark.operators import cluster, links as lnk, pairing
+from quakespark.operators import cluster, links as lnk
 from quakespark.params import IterationParams, RelocationParams
 from quakespark.plans.relocate import relocate
 from quakespark.registry import common
-from quakespark.registry.core import PAIRING, Tables
+from quakespark.registry.core import Tables
 from quakespark.registry.relocation_rows import LAYERED
 from quakespark.session import checkpointed, local_session
 

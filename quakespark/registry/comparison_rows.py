@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quakespark.functions import timefn
 from quakespark.operators import compare
-from quakespark.registry import common as c
 from quakespark.registry import sqltext as q
 from quakespark.registry.core import query, rounded
 

@@ -6,8 +6,7 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from quakespark.functions import geo
-from quakespark.operators import cluster, links as lnk, raytrace, solve, stats, weights
+from quakespark.operators import cluster, raytrace, solve, stats, weights
 from quakespark.params import IterationParams, RelocationParams, params_for
 from quakespark.plans import relocate as rel
 from quakespark.plans import workflows
@@ -201,10 +200,10 @@ entry AS MATERIALIZED (
   UNION ALL SELECT id1, id2, sta, idx, id2, 2, -z2 * f FROM g UNION ALL SELECT id1, id2, sta, idx, id2, 3, -wt FROM g)"""
 
 
-@query("R12_design_rows", q.chain("SELECT id1, id2, sta, idx, id, param, round(value, 5) + 0e0 AS value FROM entry WHERE abs(value) >= 1e-4", q.RAY_STEPS, _USED, _ENTRY))
+@query("R12_design_rows", q.chain("SELECT id1, id2, sta, idx, id, param, round(value, 4) + 0e0 AS value FROM entry WHERE abs(value) >= 1e-4", q.RAY_STEPS, _USED, _ENTRY))
 def r12(t):
     rows = solve.design_entries(_used(t), []).filter(F.abs("value") >= 1e-4)
-    return rounded(rows, value=5)
+    return rounded(rows, value=4)
 
 
 @query("R13_column_norms", q.chain("""
