@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import pathlib
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,6 +43,25 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once per application, whatever folder they run in."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = pathlib.Path(__file__).resolve().parent
+    folder = tempfile.TemporaryDirectory(prefix="quakespark-ship-")  # the driver serves the file from here
+    path = pathlib.Path(folder.name) / f"{package.name}.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for source in sorted(package.rglob("*.py")):
+            z.write(source, source.relative_to(package.parent))
+    sc.addPyFile(str(path))
+    atexit.register(folder.cleanup)
+    _SHIPPED.add(sc.applicationId)
+
+
 def local_session(cores: str = "8", app: str = "quakespark", **conf: str) -> SparkSession:
     """A ``local[...]`` session with the settings used by the tests and the benchmark."""
     builder = (
@@ -55,4 +77,5 @@ def local_session(cores: str = "8", app: str = "quakespark", **conf: str) -> Spa
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
