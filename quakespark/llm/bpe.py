@@ -5,7 +5,6 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
-from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -14,6 +13,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quakespark.llm.common import from_text
+
 #: Fixed value: how this family of vocabularies cuts a text into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Bytes up to which a word is merged by scanning its rank array; longer ones use a queue over the same boundaries.
@@ -163,19 +164,14 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
     rows give repeated results; extra columns are ignored.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def start():
         bpe = load(path)
-        for batch in batches:
-            rows = []
-            for text in batch["text"]:
-                ids = bpe.encode(text or "")
-                rows.append((
-                    len(ids),
-                    hashlib.sha256(",".join(map(bpe.digits_of.__getitem__, ids)).encode()).hexdigest(),
-                    hashlib.sha256(bpe.decode(ids).encode()).hexdigest(),
-                ))
-            out = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
-            yield pd.concat([batch[["doc_id"]].reset_index(drop=True), out], axis=1)
-
-    schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInPandas(run, schema)
+
+        def digest(text: str | None) -> tuple[int, str, str]:
+            ids = bpe.encode(text or "")
+            joined = ",".join(map(bpe.digits_of.__getitem__, ids))
+            return len(ids), hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256(bpe.decode(ids).encode()).hexdigest()
+
+        return lambda texts: [digest(t) for t in texts]
+
+    return from_text(docs.select("doc_id", "text"), "n_tokens bigint, ids_sha256 string, decoded_sha256 string", start)

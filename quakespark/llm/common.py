@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,3 +37,21 @@ def unused(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def from_text(docs: DataFrame, columns: str, compute: Callable[[], Callable[[list], list[tuple]]]) -> DataFrame:
+    """``docs`` with ``columns`` (a DDL list), computed from whole texts, in place of ``text``; the others pass unchanged.
+
+    ``compute()`` is called once for a task and gives the function from a batch of texts to a tuple for each.
+    """
+    new = StructType.fromDDL(columns)
+    rest = [f for f in docs.schema.fields if f.name != "text"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        function = compute()
+        for batch in batches:
+            rows = function(batch.column("text").to_pylist())
+            made = [pa.array([r[i] for r in rows]) for i in range(len(new))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in rest), *made], [f.name for f in (*rest, *new)])
+
+    return docs.mapInArrow(run, StructType([*rest, *new]))

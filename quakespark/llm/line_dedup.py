@@ -23,6 +23,9 @@ SEGMENTS = 4
 #: Lengths in a class share their segment borders; at most MIN_CHARS, and a multiple of SEGMENTS.
 _CLASS = 8
 
+#: Lines that hold at least one in so many of the repeated copies are joined by broadcast.
+_COMMON = 2000
+
 _POS = ("no_id", "doc_id", "key", "line_no")
 
 
@@ -174,6 +177,21 @@ def near_links(distinct: DataFrame, docs: DataFrame) -> DataFrame:
     )
 
 
+def _matched(lines: DataFrame, gone: DataFrame) -> DataFrame:
+    """``lines`` joined with ``gone`` on the line's identity, common lines without a shuffle.
+
+    At most ``_COMMON`` lines can each hold one in ``_COMMON`` of all copies, so these are safe to broadcast; what is
+    left has no key of weight.
+    """
+    total = gone.agg(F.sum("n").alias("total"))
+    often = F.col("n") * _COMMON >= F.col("total")
+    marked = checkpointed(gone.crossJoin(total).withColumn("often", often).drop("n", "total"))  # one row is joined
+    common, rest = (marked.filter(x).drop("often") for x in (F.col("often"), ~F.col("often")))
+    keys = ["h1", "h2"]
+    near = lines.join(F.broadcast(common), keys)
+    return near.unionByName(lines.join(F.broadcast(common.select(keys)), keys, "left_anti").join(rest, keys))
+
+
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, key, line_no, kind): the lines of ``docs`` (doc_id, text) that go; ``kind`` is exact or near.
 
@@ -189,8 +207,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     ).filter((F.col("n") > 1) | F.col("near"))
     first = (F.col("key") == F.col("first_key")) & (F.col("line_no") == F.col("first_line_no"))
     return (
-        lines.select("doc_id", "key", "line_no", "h1", "h2")
-        .join(gone, ["h1", "h2"])
+        _matched(lines.select("doc_id", "key", "line_no", "h1", "h2"), checkpointed(gone))
         .filter(~first | F.col("near"))
         .select("doc_id", "key", "line_no", F.when(first, F.lit("near")).otherwise(F.lit("exact")).alias("kind"))
     )

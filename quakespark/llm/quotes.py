@@ -57,7 +57,8 @@ def quoted_passages(messages: DataFrame) -> DataFrame:
     A passage is a run of quoted lines of one level; runs of several lines also give each line, as people cut what
     they quote. A message counts once, however often its row repeats.
     """
-    quoting = messages.filter(F.coalesce("text", F.lit("")).rlike("(?m)" + _MARKS)).select(*_MESSAGE, "text").dropDuplicates(["key"])
+    placed = messages.filter(F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
+    quoting = placed.filter(F.coalesce("text", F.lit("")).rlike("(?m)" + _MARKS)).select(*_MESSAGE, "text").dropDuplicates(["key"])
     lines = quoting.select(*_MESSAGE, F.posexplode(F.split("text", "\n")).alias("at", "line")).withColumn("level", level_of("line"))
     quoted = lines.filter(F.col("level") > 0).withColumn("body", _body("line"))
     # consecutive places of one level keep their distance to their rank; at most one message's lines in a group

@@ -6,14 +6,13 @@ import base64
 import hashlib
 import re
 from bisect import bisect_right
-from collections.abc import Iterator
 from functools import lru_cache
 from itertools import accumulate
 
-import pandas as pd
 import tiktoken
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from quakespark.llm.common import from_text
 
 #: The patterns of the base kinds and their shortest accepted match.
 ASSIGN = re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -96,18 +95,18 @@ def scan(docs: DataFrame, path: str, pattern: str, ratio: float = RATIO) -> Data
     A null text counts as empty. ``path`` and ``pattern`` give a tiktoken vocabulary and how it cuts words.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def start():
         encoding = _encoding(path, pattern)
         joined = lambda found: ",".join(f"{kind}:{a}:{b}" for a, b, kind in found)
-        for batch in batches:
-            rows = []
-            for text in batch["text"]:
-                found = spans(text, encoding, ratio)
-                kinds = [s[2] for s in found]
-                base = joined(s for s in found if s[2] != "token")
-                rows.append((*(kinds.count(k) for k in KINDS[:3]), hashlib.sha256(base.encode()).hexdigest(), kinds.count("token"), joined(found)))
-            out = pd.DataFrame(rows, columns=["n_assign", "n_access", "n_hex", "base_sha256", "n_token", "spans"])
-            yield pd.concat([batch[["doc_id"]].reset_index(drop=True), out], axis=1)
-
-    schema = "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, n_token bigint, spans string"
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInPandas(run, schema)
+
+        def row(text: str | None) -> tuple:
+            found = spans(text, encoding, ratio)
+            kinds = [s[2] for s in found]
+            base = joined(s for s in found if s[2] != "token")
+            counts = [kinds.count(k) for k in KINDS]
+            return *counts[:3], hashlib.sha256(base.encode()).hexdigest(), counts[3], joined(found)
+
+        return lambda texts: [row(t) for t in texts]
+
+    columns = "n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, n_token bigint, spans string"
+    return from_text(docs.select("doc_id", "text"), columns, start)

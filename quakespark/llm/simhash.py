@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quakespark.llm.common import row_key, tasks, unused
+from quakespark.llm.common import from_text, row_key, tasks, unused
 from quakespark.operators.cluster import connected_components
 from quakespark.session import checkpointed
 
@@ -46,14 +46,9 @@ def fingerprint_of(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.int64)[0])
 
 
-def fingerprint(text: str | Column, shingle: int = SHINGLE, seed: int = SEED) -> Column:
-    """Column of fingerprints (bigint) over whole texts."""
-
-    @F.pandas_udf("bigint")
-    def simhash(texts: pd.Series) -> pd.Series:
-        return pd.Series([fingerprint_of(t, shingle, seed) for t in texts], dtype="int64")
-
-    return simhash(text)
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
+    """``docs`` with the fingerprint ``fp`` in place of ``text``; other columns are passed on."""
+    return from_text(docs, "fp bigint", lambda: lambda texts: [(fingerprint_of(t, shingle, seed),) for t in texts])
 
 
 def _offsets(radius: int) -> list[tuple[int, ...]]:
@@ -167,7 +162,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     fingerprints are linked, those of empty and null texts (zero) included. Rows without doc_id are linked like
     others but never give the name; a component of such rows alone has a null name. No rows give no rows.
     """
-    prints = checkpointed(docs.select("doc_id", fingerprint("text", shingle).alias("fp")))
+    prints = checkpointed(fingerprints(docs.select("doc_id", "text"), shingle))
     return prints.join(_names(prints, radius), "fp").select("doc_id", "fp", "component_id")
 
 
@@ -185,8 +180,7 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -
     The row with the smallest doc_id stays (null ids last), among those the one with the smallest hash of its
     columns; of rows that repeat both doc_id and text one stays.
     """
-    marked = docs.select("doc_id", row_key("doc_id", "text").alias("_key"), fingerprint("text", shingle).alias("fp"))
-    prints = checkpointed(marked)
+    prints = checkpointed(fingerprints(docs.select("doc_id", row_key("doc_id", "text").alias("_key"), "text"), shingle))
     # nodes are fingerprints; the row that stays is the smallest (id, key) over a component
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_key"))
     groups = prints.groupBy("fp").agg(first.alias("head"))
