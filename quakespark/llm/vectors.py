@@ -53,7 +53,7 @@ def pack(rows: DataFrame, parts: int) -> DataFrame:
         for dim in list(held):
             yield block(dim)
 
-    return rows.repartition(parts, "vec_id").mapInPandas(run, PACKED)
+    return rows.repartition(parts).mapInPandas(run, PACKED)
 
 
 def unpack(dim: int, ids: bytes, data: bytes) -> tuple[np.ndarray, np.ndarray]:
