@@ -23,7 +23,9 @@ LONGEST = 12
 #: Count given to every piece of the vocabulary before it is seen.
 PRIOR = 0.02
 #: Words whose scores a task remembers, and words scored together.
-REMEMBERED, TOGETHER = 1 << 18, 1 << 14
+REMEMBERED, TOGETHER = 1 << 20, 1 << 14
+#: Characters up to which a word's probability needs no scale.
+SHORT = 24
 UNDETERMINED = "und"
 
 _START = "▁"
@@ -50,36 +52,40 @@ def words_of(text: str | None) -> list[str]:
 
 
 class _Lattice:
-    """Words of one length with the piece on every arc; ``score`` and ``expect`` run over all words at once."""
+    """Words of one length with the piece on every arc; ``score`` and ``expect`` run over all words at once.
+
+    Arcs without a piece point behind the vocabulary, to a row of zeros.
+    """
 
     def __init__(self, words: list[str], pieces: dict[str, int]):
-        self.length = len(words[0]) + 1
-        self.arcs = []
+        self.n, self.length = len(words), len(words[0]) + 1
+        texts = [_START + w for w in words]
+        none, find = len(pieces) + 1, pieces.get
+        self.arcs: list[list[tuple[int, np.ndarray]]] = [[] for _ in range(self.length + 1)]  # by end
         for end in range(1, self.length + 1):
             for start in range(max(0, end - LONGEST), end):
-                ids = [pieces.get(w[start:end], 0) for w in (_START + x for x in words)]
-                arc = np.array(ids, np.int32)
-                if end - start == 1:
-                    use = np.ones(len(words), bool)
-                elif not (use := arc > 0).any():
-                    continue
-                self.arcs.append((start, end, arc, use))
-        self.n = len(words)
+                # one character always makes an arc, as piece 0 at least
+                missing = 0 if end - start == 1 else none
+                arc = np.array([find(t[start:end], missing) for t in texts], np.int32)
+                if not missing or (arc != none).any():
+                    self.arcs[end].append((start, arc))
 
     def forward(self, p: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-        """Scaled sums up to each position, and the logarithm of the scale there; words by languages."""
-        sums = [np.ones((self.n, p.shape[1]))] + [np.zeros((self.n, p.shape[1])) for _ in range(self.length)]
+        """Sums up to each position, and the logarithm of their scale; words by languages. ``p`` ends with zeros."""
+        shape = (self.n, p.shape[1])
+        sums = [np.ones(shape)] + [np.zeros(shape) for _ in range(self.length)]
         scale = np.zeros((self.length + 1, self.n))
+        scaled = self.length > SHORT
         for at in range(1, self.length + 1):
-            # earlier sums are brought to the scale of the one before; that is at most LONGEST steps away
+            # earlier sums are brought to the scale of the one before, at most LONGEST steps away
             scale[at] = scale[at - 1]
-            for start, end, arc, use in self.arcs:
-                if end == at:
-                    step = sums[start] * np.exp(scale[start] - scale[at])[:, None] * p[arc]
-                    sums[at] += np.where(use[:, None], step, 0.0)
-            top = sums[at].max(1)
-            sums[at] /= top[:, None]
-            scale[at] += np.log(top)
+            for start, arc in self.arcs[at]:
+                step = sums[start] * p[arc]
+                sums[at] += step * np.exp(scale[start] - scale[at])[:, None] if scaled else step
+            if scaled:
+                top = sums[at].max(1)
+                sums[at] /= top[:, None]
+                scale[at] += np.log(top)
         return sums, scale
 
     def score(self, p: np.ndarray) -> np.ndarray:
@@ -92,21 +98,27 @@ class _Lattice:
         sums, scale = self.forward(p)
         back = [np.zeros_like(sums[0]) for _ in range(self.length)] + [np.ones_like(sums[0])]
         lift = np.zeros_like(scale)
-        for at in range(self.length - 1, -1, -1):
-            lift[at] = lift[at + 1]
-            for start, end, arc, use in self.arcs:
-                if start == at:
-                    step = back[end] * np.exp(lift[end] - lift[at])[:, None] * p[arc]
-                    back[at] += np.where(use[:, None], step, 0.0)
-            top = back[at].max(1)
-            back[at] /= top[:, None]
-            lift[at] += np.log(top)
-        for start, end, arc, use in self.arcs:
-            inside = np.exp(scale[start] + lift[end] - scale[-1])[:, None]
-            used = sums[start] * p[arc] * back[end] * inside / np.maximum(sums[-1], 1e-300)
-            used = np.where(use[:, None], used, 0.0) * counts
-            for k in range(p.shape[1]):
-                out[:, k] += np.bincount(arc, used[:, k], len(out))
+        total = np.maximum(sums[-1], 1e-300)
+        for end in range(self.length, 0, -1):
+            # all arcs from here on are in: bring the sum to scale, then pass it to the starts of the arcs that end here
+            top = back[end].max(1)
+            back[end] /= top[:, None]
+            lift[end] += np.log(top)
+            for start, arc in self.arcs[end]:
+                inside = np.exp(scale[start] + lift[end] - scale[-1])[:, None]
+                used = sums[start] * p[arc] * back[end] * inside / total * counts
+                for k in range(p.shape[1]):
+                    out[:, k] += np.bincount(arc, used[:, k], len(out) + 1)[:-1]
+            # sums not yet complete keep the scale of the position after them
+            for start in range(max(0, end - LONGEST), end):
+                back[start] *= np.exp(lift[start] - lift[end])[:, None]
+                lift[start] = lift[end]
+            for start, arc in self.arcs[end]:
+                back[start] += back[end] * p[arc]
+
+
+def _padded(p: np.ndarray) -> np.ndarray:
+    return np.concatenate([p, np.zeros((1, p.shape[1]))])
 
 
 def _by_length(words: list[str]) -> Iterator[tuple[list[int], list[str]]]:
@@ -126,9 +138,9 @@ class Model:
         self.path, self.languages, self.p = path, languages, p
 
     def words(self, words: list[str]) -> np.ndarray:
-        out = np.zeros((len(words), len(self.languages)))
+        out, p = np.zeros((len(words), len(self.languages))), _padded(self.p)
         for index, part in _by_length(words):
-            out[index] = _Lattice(part, _pieces(self.path)).score(self.p)
+            out[index] = _Lattice(part, _pieces(self.path)).score(p)
         return out
 
 
@@ -148,7 +160,7 @@ def fit(counts: pd.DataFrame, path: str, rounds: int = ROUNDS) -> Model:
     for _ in range(rounds):
         used = np.full((size, len(languages)), PRIOR)
         for index, lattice in lattices:
-            lattice.expect(p, table[index], used)
+            lattice.expect(_padded(p), table[index], used)
         p = used / used.sum(0)
     return Model(path, languages, p)
 

@@ -62,7 +62,7 @@ def test_expectation_counts_whole_words():
     p = np.full((len(pieces) + 1, 1), 1 / (len(pieces) + 1))
     for index, part in language._by_length(words):
         used = np.zeros_like(p)
-        language._Lattice(part, pieces).expect(p, np.ones((len(part), 1)), used)
+        language._Lattice(part, pieces).expect(language._padded(p), np.ones((len(part), 1)), used)
         assert (used[:, 0] * lengths).sum() == pytest.approx(sum(len(w) + 1 for w in part))
     counts = pd.DataFrame({"lang": ["x"] * 3, "word": words, "n": [5, 3, 9]})
     score = [float((language.fit(counts, PIECES, r).words(words)[:, 0] * [5, 3, 9]).sum()) for r in (1, 2, 4)]
