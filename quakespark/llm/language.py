@@ -23,7 +23,9 @@ LONGEST = 12
 #: Count given to every piece of the vocabulary before it is seen.
 PRIOR = 0.02
 #: Words whose scores a task remembers, and words scored together.
-REMEMBERED, TOGETHER = 1 << 20, 1 << 14
+REMEMBERED, TOGETHER = 1 << 19, 1 << 14
+#: Characters of the texts whose words are looked up together.
+PORTION = 1 << 22
 #: Characters up to which a word's probability needs no scale.
 SHORT = 24
 UNDETERMINED = "und"
@@ -225,6 +227,20 @@ class _Scorer:
         return self.model.languages[best], float(odds[best] / odds.sum())
 
 
+def _portions(texts: pd.Series) -> Iterator[list]:
+    """Texts of about ``PORTION`` characters together; a longer one alone."""
+    part, size = [], 0
+    for text in texts:
+        length = len(text or "")
+        if part and size + length > PORTION:
+            yield part
+            part, size = [], 0
+        part.append(text)
+        size += length
+    if part:
+        yield part
+
+
 def prediction(spark: SparkSession, model: Model, text: str | Column) -> Column:
     """Struct (lang_pred, score) of each whole text: the likeliest language and its posterior at even odds.
 
@@ -237,11 +253,11 @@ def prediction(spark: SparkSession, model: Model, text: str | Column) -> Column:
         scorer = _Scorer(shared.value)
         for texts in batches:
             found = []
-            # words new to the task are scored many at a time
-            for at in range(0, len(texts), 64):
-                lists = [words_of(t) for t in texts.iloc[at : at + 64]]
+            for part in _portions(texts):
+                # words new to the task are scored many at a time
+                lists = [words_of(t) for t in part]
                 fresh = set().union(*lists) - scorer.place.keys()
-                if len(fresh) > TOGETHER // 16 and len(fresh) <= REMEMBERED // 4:
+                if len(lists) > 1 and len(fresh) <= REMEMBERED // 4:
                     scorer.total(list(fresh))
                 found += [scorer.predict(words) for words in lists]
             yield pd.DataFrame(found, columns=["lang_pred", "score"])
