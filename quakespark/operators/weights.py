@@ -103,22 +103,13 @@ def exact_median(df: DataFrame, keys: list[str], value: str, name: str, accuracy
     return found.select(*keys, checked.alias(name))
 
 
-def median(df: DataFrame, keys: list[str], value: str, name: str, large: bool) -> DataFrame:
-    if large:
-        return exact_median(df, keys, value, name)
-    return df.groupBy(*keys).agg(F.median(value).alias(name))
-
-
-def spreads(links: DataFrame, keys: list[str], large: bool = True) -> DataFrame:
-    """Median and scaled MAD of the residuals, separately for correlation and catalog links.
-
-    ``large`` says that a group may be too big for one aggregation buffer.
-    """
+def spreads(links: DataFrame, keys: list[str]) -> DataFrame:
+    """Median and scaled MAD of the residuals, separately for correlation and catalog links."""
     typed = links.select(*keys, is_cc().alias("cc"), "res")
     by = [*keys, "cc"]
-    med = median(typed, by, "res", "med", large)
+    med = exact_median(typed, by, "res", "med")
     dev = typed.join(med, by).withColumn("dev", F.abs(F.col("res") - F.col("med")))
-    mad = median(dev, by, "dev", "mad", large).withColumn("mad", F.col("mad") / MAD_SCALE)
+    mad = exact_median(dev, by, "dev", "mad").withColumn("mad", F.col("mad") / MAD_SCALE)
     return med.join(mad, by)
 
 
@@ -127,7 +118,7 @@ def needs_spread(p: IterationParams) -> bool:
     return any(c is not None and c >= 1 for c in (p.res_cc, p.res_ct))
 
 
-def weights(links: DataFrame, p: IterationParams, keys: list[str] | None = None, large: bool = True) -> DataFrame:
+def weights(links: DataFrame, p: IterationParams, keys: list[str] | None = None) -> DataFrame:
     """Column ``wt``. Needs idx, qual, res and offs_m."""
     keys = keys or []
     if needs_spread(p):
@@ -140,7 +131,7 @@ def weights(links: DataFrame, p: IterationParams, keys: list[str] | None = None,
     if p.res_cc is None and p.res_ct is None:
         return wt
     if needs_spread(p):
-        spread = spreads(links, keys, large).select(*keys, F.col("cc").alias("_cc"), "mad")
+        spread = spreads(links, keys).select(*keys, F.col("cc").alias("_cc"), "mad")
         for k in keys:
             spread = spread.withColumnRenamed(k, f"_{k}")
         condition = is_cc().eqNullSafe(F.col("_cc"))

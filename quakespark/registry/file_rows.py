@@ -63,12 +63,10 @@ def _phases(t):
 
 @query("S4_K2_phase_events", q.views("""
     SELECT id, round(lat, 4) AS lat, round(lon, 4) AS lon, depth_km, round(mag, 2) AS mag,
-           CAST(year(origin_time) AS INT) AS yr, CAST(minute(origin_time) AS INT) AS mi FROM v_event
-    WHERE microsecond(origin_time) < 59990000""", "v_event"))
+           CAST(year(origin_time) AS INT) AS yr, CAST(minute(origin_time) AS INT) AS mi FROM v_event""", "v_event"))
 def s4(t):
     events, _ = _phases(t)
-    whole = t("v_event").filter(timefn.timestamp_parts("origin_time")["sc"] < 59.99).select("id")
-    out = events.join(whole, "id", "left_semi").select(
+    out = events.select(
         "id", "lat", "lon", "depth_km", "mag", F.year("origin_time").alias("yr"), F.minute("origin_time").alias("mi"))
     return rounded(out, lat=4, lon=4, mag=2)
 

@@ -139,11 +139,10 @@ def t1(t):
 
 @query("T2_iso_text", q.views("""
     SELECT id, strftime(origin_time, '%Y-%m-%dT%H:%M:') ||
-           lpad(printf('%.3f', (microsecond(origin_time) // 10000) / 1e2), 6, '0') || 'Z' AS origin_time FROM v_event""", "v_event"))
+           lpad(printf('%.3f', microsecond(origin_time) / 1e6), 6, '0') || 'Z' AS origin_time FROM v_event""", "v_event"))
 def t2(t):
     p = timefn.timestamp_parts("origin_time")
-    cut = F.floor(p["sc"] * 100 + 1e-6) / 100.0
-    parts = t("v_event").select("id", *[(cut if n == "sc" else c).alias(n) for n, c in p.items()])
+    parts = t("v_event").select("id", *[c.alias(n) for n, c in p.items()])
     return parts.select("id", timefn.parts_to_iso("yr", "mo", "dy", "hr", "mi", "sc").alias("origin_time"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quakespark.functions import timefn
 from quakespark.operators import cluster, links as lnk, prepare
+from quakespark.params import LinkParams
 from quakespark.registry import common as c
 from quakespark.registry import sqltext as q
 from quakespark.registry.core import query, rounded
@@ -182,10 +183,11 @@ placed AS MATERIALIZED (SELECT l.*, {q.dist('e.lat', 'e.lon', 's.lat', 's.lon',
 
 
 @query("F13_station_range", q.chain("""
-    SELECT id1, id2, sta, idx, round(dt, 6) AS dt, round(sta_dist, 4) AS sta_dist FROM placed WHERE sta_dist BETWEEN 2e1 AND 6e1""", _TURNED))
+    SELECT id1, id2, sta, idx, round(dt, 6) AS dt, round(sta_dist, 4) AS sta_dist FROM placed WHERE sta_dist BETWEEN 2e1 AND 6e1 OR qual <= 0""", _TURNED))
 def f13(t):
-    placed = lnk.station_geometry(lnk.smaller_id_first(c.all_links(t)), t("v_event"), t("v_station"))
-    kept = placed.filter(F.col("sta_dist").between(20.0, 60.0))
+    limits = LinkParams(min_pair_dist=20.0, max_pair_dist=60.0)
+    near = lnk.geometry_filter(c.all_links(t), t("v_event"), t("v_station"), limits)
+    kept = lnk.station_geometry(near, t("v_event"), t("v_station"))
     return rounded(kept.select("id1", "id2", "sta", "idx", "dt", "sta_dist"), dt=6, sta_dist=4)
 
 

@@ -77,7 +77,7 @@ def r9(t):
 
 @query("A8_median_mad", q.chain("SELECT cc, round(med, 6) AS med, round(mad, 6) AS mad FROM mad", q.RAY_STEPS, q.SPREAD_STEPS))
 def a8(t):
-    return rounded(weights.spreads(checkpointed(c.residual_links(t)), [], large=True).select("cc", "med", "mad"), med=6, mad=6)
+    return rounded(weights.spreads(checkpointed(c.residual_links(t)), []).select("cc", "med", "mad"), med=6, mad=6)
 
 
 @query("R10_weights", q.chain("SELECT id1, id2, sta, idx, round(wt, 4) AS wt FROM wres", q.RAY_STEPS, q.WEIGHT_STEPS))
@@ -200,10 +200,10 @@ entry AS MATERIALIZED (
   UNION ALL SELECT id1, id2, sta, idx, id2, 2, -z2 * f FROM g UNION ALL SELECT id1, id2, sta, idx, id2, 3, -wt FROM g)"""
 
 
-@query("R12_design_rows", q.chain("SELECT id1, id2, sta, idx, id, param, round(value, 4) + 0e0 AS value FROM entry WHERE abs(value) >= 1e-4", q.RAY_STEPS, _USED, _ENTRY))
+@query("R12_design_rows", q.chain("SELECT id1, id2, sta, idx, id, param, round(value, 4) + 0e0 AS value FROM entry", q.RAY_STEPS, _USED, _ENTRY))
 def r12(t):
-    rows = solve.design_entries(_used(t), []).filter(F.abs("value") >= 1e-4)
-    return rounded(rows, value=4)
+    rows = solve.design_entries(_used(t), [])
+    return rounded(rows, value=4).withColumn("value", F.col("value") + 0.0)
 
 
 @query("R13_column_norms", q.chain("""
