@@ -44,11 +44,11 @@ def select_events(events: DataFrame, picks: DataFrame, min_obs: int, ids: DataFr
     return kept
 
 
-def first_picks(picks: DataFrame) -> DataFrame:
-    """The first pick of every (event, station, phase)."""
-    return picks.groupBy("id", "sta", "phase").agg(
+def first_picks(picks: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """The first pick of every (event, station, phase), within each run that ``keys`` tell apart."""
+    return picks.groupBy(*keys, "id", "sta", "phase").agg(
         F.min_by(F.struct("tt", "weight"), "seq").alias("p")
-    ).select("id", "sta", "phase", "p.tt", "p.weight")
+    ).select(*keys, "id", "sta", "phase", "p.tt", "p.weight")
 
 
 # ---------------------------------------------------------------------------------------------
@@ -172,21 +172,24 @@ def candidate_pairs(
 # Common picks of a pair
 
 
-def match_picks(pairs: DataFrame, first: DataFrame, stations: DataFrame, params: PairParams) -> DataFrame:
+def match_picks(
+    pairs: DataFrame, first: DataFrame, stations: DataFrame, max_dist, keys: tuple[str, ...] = ()
+) -> DataFrame:
     """Common (station, phase) of both events of a pair, with the outcome of J5, F7 and F8.
 
-    ``first`` are the first picks of every (event, station, phase), see ``first_picks``.
+    ``first`` are the first picks of every (event, station, phase), see ``first_picks``. ``max_dist`` is a number or
+    a column of ``pairs``; ``keys`` tell runs apart in both tables.
 
     ``status`` is 'ok', 'unknown' (station not in the list), 'far' or 'outlier'.
     """
     a = first.select(
-        F.col("id").alias("id1"), "sta", "phase", F.col("tt").alias("t1"), F.col("weight").alias("w1")
+        *keys, F.col("id").alias("id1"), "sta", "phase", F.col("tt").alias("t1"), F.col("weight").alias("w1")
     )
     b = first.select(
-        F.col("id").alias("id2"), "sta", "phase", F.col("tt").alias("t2"), F.col("weight").alias("w2")
+        *keys, F.col("id").alias("id2"), "sta", "phase", F.col("tt").alias("t2"), F.col("weight").alias("w2")
     )
     places = stations.select("sta", F.col("lat").alias("s_lat"), F.col("lon").alias("s_lon"))
-    rows = pairs.join(a, "id1").join(b, ["id2", "sta", "phase"]).join(places, "sta", "left")
+    rows = pairs.join(a, [*keys, "id1"]).join(b, [*keys, "id2", "sta", "phase"]).join(places, "sta", "left")
     dist = geo.distance_km("s_lat", "s_lon", "mid_lat", "mid_lon", "pairing")
     speed = F.when(F.col("phase") == "P", OUTLIER_SPEED["P"]).otherwise(OUTLIER_SPEED["S"])
     limit = F.col("sep") / speed + OUTLIER_SLACK_S
@@ -195,7 +198,7 @@ def match_picks(pairs: DataFrame, first: DataFrame, stations: DataFrame, params:
         .withColumn(
             "status",
             F.when(F.col("s_lat").isNull(), "unknown")
-            .when(F.col("dist") > params.max_dist, "far")
+            .when(F.col("dist") > max_dist, "far")
             .when(F.abs(F.col("t1") - F.col("t2")) > limit, "outlier")
             .otherwise("ok"),
         )
@@ -332,7 +335,7 @@ def staged_neighbours(
         pairs = near.filter(~F.col("cut")).select(
             "id1", "id2", "ord1", "ord2", "sep", "mid_lat", "mid_lon"
         ).dropDuplicates(["id1", "id2"])
-        counts = pair_counts(match_picks(pairs, first, stations, params)).drop("ord1", "ord2", "sep")
+        counts = pair_counts(match_picks(pairs, first, stations, params.max_dist)).drop("ord1", "ord2", "sep")
         safe = (
             near.filter(~F.col("cut"))
             .join(edge, "ev", "left")
@@ -366,7 +369,7 @@ def linked_pairs(
     peak = _peak_density(events, params.max_sep, params.km_per_deg)
     if peak <= hot_cell:
         pairs = candidate_pairs(events, params.max_sep, params.km_per_deg, hot_cell=None)
-        return select_neighbours(pair_counts(match_picks(pairs, first, stations, params)), params)
+        return select_neighbours(pair_counts(match_picks(pairs, first, stations, params.max_dist)), params)
     halvings = math.ceil(math.log2(peak / hot_cell) / 2)
     return staged_neighbours(events, first, stations, params, params.max_sep / 2**halvings, hot_cell)
 
@@ -413,7 +416,7 @@ def nearest_links(
             ((F.col("lon1") + F.col("lon2")) / 2).alias("mid_lon"),
         )
     )
-    rows = match_picks(located, first, stations, params).filter(F.col("status") == "ok")
+    rows = match_picks(located, first, stations, params.max_dist).filter(F.col("status") == "ok")
     nearest = W.partitionBy("id1", "id2").orderBy("rank_dist", "sta", "phase")
     return (
         rows.withColumn("rank_dist", F.when(F.col("important"), 0.0).otherwise(F.col("dist")))
@@ -434,7 +437,7 @@ def selection_funnel(
     """One row (metric, value) per stage of pairing."""
     chosen, first = pairing_inputs(events, picks, params)
     candidates = candidate_pairs(chosen, params.max_sep, params.km_per_deg)
-    matched = checkpointed(match_picks(candidates, first, stations, params))
+    matched = checkpointed(match_picks(candidates, first, stations, params.max_dist))
     counts = pair_counts(matched)
     walk = walked(directed(counts), params)
     reached = checkpointed(walk.filter(F.col("strong_before") < params.max_neighbours))

@@ -28,7 +28,7 @@ def chosen_events(t: Tables) -> DataFrame:
 
 def matched(t: Tables) -> DataFrame:
     chosen, first = pairing.pairing_inputs(t("v_event"), t("v_pick"), PAIRING)
-    return pairing.match_picks(pairing.candidate_pairs(chosen, PAIRING.max_sep), first, t("v_station"), PAIRING)
+    return pairing.match_picks(pairing.candidate_pairs(chosen, PAIRING.max_sep), first, t("v_station"), PAIRING.max_dist)
 
 
 def linked_pairs(t: Tables) -> DataFrame:

@@ -20,6 +20,11 @@ def _path(t, kind):
     return scratch_path(t.spark, kind)
 
 
+def _floor(value):
+    """Whole part as a double."""
+    return F.floor(value).cast("double")
+
+
 def _detection_csv(t):
     path = _path(t, "detections")
     iso = F.concat(F.date_format("origin_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
@@ -77,15 +82,12 @@ def s4_picks(t):
 
 
 @query("S5_K1_station_file", q.views("""
-    SELECT sta, round(lat, 5) AS lat, round(lon, 5) AS lon, 0 AS model_id, round(elev_km * 1e3, 0) AS elev_m FROM v_station""", "v_station"))
+    SELECT sta, round(lat, 5) AS lat, round(lon, 5) AS lon, 0 AS model_id, floor(elev_km * 1e3) AS elev_m FROM v_station""", "v_station"))
 def s5(t):
+    """Elevations are put on whole metres first, which the file holds exactly."""
     path = _path(t, "station-file")
-    sink.write_stations(t("v_station"), path)
-    out = text.read_station_file(t.spark, path).drop("src")
-    near = t("v_station").select("sta", F.round(F.col("elev_km") * 1000, 0).alias("_e"))
-    # the file holds one decimal; a half metre may round either way
-    out = out.join(near, "sta").withColumn("elev_m", F.when(F.abs(F.col("elev_m") - F.col("_e")) <= 0.55, F.col("_e")).otherwise(F.col("elev_m")))
-    return rounded(out.drop("_e"), lat=5, lon=5)
+    sink.write_stations(t("v_station").withColumn("elev_km", _floor(F.col("elev_km") * 1000.0) / 1000.0), path)
+    return rounded(text.read_station_file(t.spark, path).drop("src"), lat=5, lon=5)
 
 
 @query("S6_K3_correlation_file", "WITH " + q.adapter.sql_views(*_DET) + "," + q.CC_STEPS + """
@@ -125,24 +127,31 @@ def k6(t):
 
 
 def _reloc(t):
-    p = timefn.timestamp_parts("origin_time")
+    """The 24 values, on steps that the text format holds exactly."""
+    p = timefn.timestamp_parts(F.date_trunc("second", "origin_time").cast("timestamp_ntz"))
     a = t("v_reloc_a")
     ints = {"n_cc_p": 3, "n_cc_s": 5, "n_ct_p": 7, "n_ct_s": 11}
     return a.select(
-        "id", "lat", "lon", "depth_km", "x_m", "y_m", "z_m", "ex_m", "ey_m", "ez_m", *[v.alias(n) for n, v in p.items()], "mag",
+        "id", "lat", "lon", "depth_km", *[_floor(n).alias(n) for n in ("x_m", "y_m", "z_m")], "ex_m", "ey_m", "ez_m",
+        *[v.alias(n) for n, v in p.items()], "mag",
         *[(F.col("id") % k).cast("int").alias(n) for n, k in ints.items()],
         F.when(F.col("id") % 4 == 0, None).otherwise(F.col("id") % 9 / 1e3).alias("rms_cc"),
         (F.col("id") % 8 / 1e3).alias("rms_ct"), "cluster_id")
 
 
-@query("S9_K7_relocations", q.views("""
-    SELECT id, round(lat, 5) AS lat, round(lon, 5) AS lon, round(depth_km, 3) AS depth_km, ex_m, CAST(day(origin_time) AS INT) AS dy, round(mag, 2) AS mag,
-           CAST(id % 7 AS INT) AS n_ct_p, CASE WHEN id % 4 = 0 THEN -9e0 ELSE (id % 9) / 1e3 END AS rms_cc, CAST(cluster_id AS INT) AS cluster_id FROM v_reloc_a""", "v_reloc_a"))
+_PARTS = ", ".join(f"CAST({part}(origin_time) AS INT) AS {n}" for part, n in (("year", "yr"), ("month", "mo"), ("day", "dy"), ("hour", "hr"), ("minute", "mi")))
+_NUMBERS = ", ".join(f"CAST(id % {k} AS INT) AS {n}" for n, k in (("n_cc_p", 3), ("n_cc_s", 5), ("n_ct_p", 7), ("n_ct_s", 11)))
+
+
+@query("S9_K7_relocations", q.views(f"""
+    SELECT id, round(lat, 5) AS lat, round(lon, 5) AS lon, round(depth_km, 3) AS depth_km, floor(x_m) AS x_m, floor(y_m) AS y_m, floor(z_m) AS z_m,
+           ex_m, ey_m, ez_m, {_PARTS}, CAST(second(origin_time) AS DOUBLE) AS sc, round(mag, 2) AS mag, {_NUMBERS},
+           CASE WHEN id % 4 = 0 THEN -9e0 ELSE (id % 9) / 1e3 END AS rms_cc, (id % 8) / 1e3 AS rms_ct, CAST(cluster_id AS INT) AS cluster_id
+    FROM v_reloc_a""", "v_reloc_a"))
 def s9(t):
     path = _path(t, "reloc")
     sink.write_relocations(_reloc(t), path)
-    out = text.read_relocations(t.spark, path)
-    return rounded(out.select("id", "lat", "lon", "depth_km", "ex_m", "dy", "mag", "n_ct_p", "rms_cc", "cluster_id"), lat=5, lon=5, depth_km=3, mag=2)
+    return rounded(text.read_relocations(t.spark, path), lat=5, lon=5, depth_km=3, mag=2)
 
 
 @query("S10_id_list", "SELECT DISTINCT o_custkey AS id FROM orders")
@@ -152,10 +161,18 @@ def s10(t):
     return text.read_ids(t.spark, path)
 
 
+def _grid(place):
+    """The place moved on hundredths of a minute, as far as archives resolve."""
+    whole = F.floor(F.abs(place))
+    return F.signum(place) * (whole + F.floor((F.abs(place) - whole) * 6000.0) / 6000.0)
+
+
 def _archive_text(t):
-    """Events and picks laid out in the fixed columns of the long archive format."""
+    """Events and picks laid out in the fixed columns of the long archive format, on the steps that it resolves."""
+    events = t("v_event").withColumns({
+        "lat": _grid(F.col("lat")), "lon": _grid(F.col("lon")), "origin_time": F.date_trunc("second", "origin_time").cast("timestamp_ntz")})
     p = timefn.timestamp_parts("origin_time")
-    e = t("v_event").withColumns({n: v for n, v in p.items()}).withColumns({
+    e = events.withColumns({n: v for n, v in p.items()}).withColumns({
         "hund": F.floor(F.col("sc") * 100 + 1e-6), "la": F.floor("lat"), "lo": F.floor(F.abs("lon"))})
     minutes = lambda v, d: F.round((v - d) * 6000.0).cast("bigint")
     head = F.format_string(
@@ -163,7 +180,8 @@ def _archive_text(t):
         minutes(F.col("lat"), F.col("la")), F.col("lo"), minutes(F.abs("lon"), F.col("lo")), F.round(F.col("depth_km") * 100).cast("bigint"))
     head = F.concat(F.rpad(head, 136, " "), F.format_string("%10d", "id"))
     code = F.when(F.abs("weight") == 1, 0).when(F.abs("weight") == 0.5, 1).when(F.abs("weight") == 0.2, 2).otherwise(3)
-    joined = t("v_pick").join(e.select("id", "mi", "sc"), "id")
+    picks = t("v_pick").withColumn("tt", F.floor(F.col("tt") * 100.0) / 100.0)
+    joined = picks.join(e.select("id", "mi", "sc"), "id")
     at = F.col("sc") + F.col("tt")
     hundredths = F.format_string("%5d", F.round(at * 100).cast("bigint"))
     blank5 = F.lit("     ")
@@ -183,29 +201,24 @@ def _archive_text(t):
     return path
 
 
-@query("S11_archive_events", q.views("""
-    SELECT id, round(lat, 3) AS lat, round(lon, 3) AS lon, depth_km, date_trunc('minute', origin_time) AS minute FROM v_event""", "v_event"))
-def s11(t):
-    out = archive.archive_events(archive.read_archive(t.spark, _archive_text(t)))
-    exact = t("v_event").select("id", "lat", "lon")
-    return _snapped(out.select("id", F.col("lat").alias("_lat"), F.col("lon").alias("_lon"), "depth_km",
-                               F.date_trunc("minute", "origin_time").cast("timestamp_ntz").alias("minute")).join(exact, "id"))
+def _grid_sql(place):
+    whole = f"floor(abs({place}))"
+    return f"round(sign({place}) * ({whole} + floor((abs({place}) - {whole}) * 6e3) / 6e3), 6)"
 
 
-def _snapped(df):
-    """Minutes with two decimals resolve 1.7e-4 degrees: take the exact value where the file agrees."""
-    for n in ("lat", "lon"):
-        df = df.withColumn(n, F.round(F.when(F.abs(F.col(f"_{n}") - F.col(n)) < 1e-4, F.col(n)).otherwise(F.col(f"_{n}")), 3))
-    return df.drop("_lat", "_lon")
+@query("S11_archive_events", q.views(f"""
+    SELECT id, {_grid_sql('lat')} AS lat, {_grid_sql('lon')} AS lon, depth_km, CAST(date_trunc('second', origin_time) AS TIMESTAMP) AS origin_time
+    FROM v_event""", "v_event"))
+def s11(t):
+    out = archive.archive_events(archive.read_archive(t.spark, _archive_text(t)))
+    return rounded(out.select("id", "lat", "lon", "depth_km", "origin_time"), lat=6, lon=6)
 
 
-@query("F24_archive_picks", q.views("SELECT id, concat('XX', sta) AS sta, phase, weight, round(tt, 1) AS tt FROM (SELECT id, sta, phase, weight, 0e0 AS tt FROM v_pick)", "v_event", "v_station", "v_pick"))
+@query("F24_archive_picks", q.views("""
+    SELECT id, concat('XX', sta) AS sta, phase, weight, round(floor(tt * 1e2) / 1e2, 2) AS tt FROM v_pick""", "v_event", "v_station", "v_pick"))
 def f24(t):
-    """Travel times come back within the hundredths of the archive; checked against the view."""
     picks = archive.archive_picks(archive.read_archive(t.spark, _archive_text(t)))
-    exact = t("v_pick").select("id", F.concat(F.lit("XX"), "sta").alias("sta"), "phase", F.col("tt").alias("_tt"))
-    both = picks.join(exact, ["id", "sta", "phase"], "left")
-    return both.select("id", "sta", "phase", "weight", F.round(F.when(F.abs(F.col("tt") - F.col("_tt")) < 0.016, 0.0).otherwise(F.col("tt")), 1).alias("tt"))
+    return rounded(picks.select("id", "sta", "phase", "weight", "tt"), tt=2)
 
 
 @query("S12_station_archive", q.views("SELECT rpad(concat('XX', sta), 7, ' ') AS sta, round(lat, 5) AS lat, round(lon, 5) AS lon FROM v_station", "v_station"))
@@ -288,24 +301,31 @@ def k7(t):
 
 
 @query("K7_residual_lines", q.chain("""
-    SELECT id1, id2, sta, idx, round(offs_m, 0) AS offs_m FROM res""", q.RAY_STEPS))
+    SELECT id1, id2, sta, idx, round(dt, 6) AS dt, round(qual, 4) AS qual, floor(res * 1e3) AS res_ms, round(qual, 4) AS wt, floor(offs_m) AS offs_m
+    FROM res""", q.RAY_STEPS))
 def k7_res(t):
+    """Residuals are put on whole milliseconds and separations on whole metres, which the lines hold exactly."""
     path = _path(t, "residuals")
-    sink.write_lines(sink.residual_lines(c.residual_links(t).withColumn("wt", F.col("qual"))), ["id1", "id2", "sta", "idx"], path)
-    tok = [F.get("tok", F.lit(i)) for i in range(9)]
-    back = text.read_lines(t.spark, path).select(
-        tok[2].cast("bigint").alias("id1"), tok[3].cast("bigint").alias("id2"), tok[0].alias("sta"), tok[4].cast("int").alias("idx"), tok[8].cast("double").alias("_o"))
-    exact = c.with_offsets(t, c.all_links(t)).select("id1", "id2", "sta", "idx", "offs_m")
-    both = back.join(exact, ["id1", "id2", "sta", "idx"])
-    return both.select("id1", "id2", "sta", "idx", F.round(F.when(F.abs(F.col("_o") - F.col("offs_m")) <= 0.0501, F.col("offs_m")).otherwise(-1.0), 0).alias("offs_m"))
-
-
-@query("K8_export", q.views("""
-    SELECT id AS synthetic_id, CAST(id AS STRING) AS event_id, strftime(origin_time, '%Y-%m-%dT%H:%M') AS minute FROM v_reloc_a""", "v_event", "v_reloc_a"))
+    links = c.residual_links(t).withColumns({
+        "wt": F.col("qual"), "res": _floor(F.col("res") * 1000.0) / 1000.0, "offs_m": _floor("offs_m")})
+    sink.write_lines(sink.residual_lines(links), ["id1", "id2", "sta", "idx"], path)
+    names = {"sta": "string", "dt": "double", "id1": "bigint", "id2": "bigint", "idx": "int", "qual": "double", "res_ms": "double", "wt": "double", "offs_m": "double"}
+    back = text.read_lines(t.spark, path).select(*[F.get("tok", F.lit(i)).cast(kind).alias(n) for i, (n, kind) in enumerate(names.items())])
+    return rounded(back, dt=6, qual=4, wt=4)
+
+
+@query("K8_export", q.views(f"""
+    SELECT id AS synthetic_id, CAST(id AS STRING) AS event_id, strftime(origin_time, '%Y-%m-%dT%H:%M:%S') || '.000Z' AS origin_time,
+           round(lat, 5) AS lat, round(lon, 5) AS lon, round(depth_km, 3) AS depth_km, floor(x_m) AS x_m, floor(y_m) AS y_m, floor(z_m) AS z_m,
+           ex_m, ey_m, ez_m, round(mag, 2) AS mag, {_NUMBERS}, CASE WHEN id % 4 <> 0 THEN (id % 9) / 1e3 END AS rms_cc, (id % 8) / 1e3 AS rms_ct,
+           CAST(cluster_id AS INT) AS cluster_id
+    FROM v_reloc_a""", "v_event", "v_reloc_a"))
 def k8(t):
     from quakespark.operators import compare
 
     path = _path(t, "export")
     sink.write_csv(compare.export_relocations(_reloc(t), c.own_ids(t)), path)
-    back = t.spark.read.csv(path, header=True)
-    return back.select(F.col("synthetic_id").cast("bigint").alias("synthetic_id"), "event_id", F.substring("origin_time", 1, 16).alias("minute"))
+    kinds = {n: "double" for n in ("lat", "lon", "depth_km", "x_m", "y_m", "z_m", "ex_m", "ey_m", "ez_m", "mag", "rms_cc", "rms_ct")}
+    kinds |= {"synthetic_id": "bigint", "cluster_id": "int", "n_cc_p": "int", "n_cc_s": "int", "n_ct_p": "int", "n_ct_s": "int"}
+    back = t.spark.read.csv(path, header=True).withColumns({n: F.col(n).cast(kind) for n, kind in kinds.items()})
+    return rounded(back.select("event_id", "origin_time", *kinds), lat=5, lon=5, depth_km=3, mag=2)

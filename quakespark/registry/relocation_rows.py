@@ -6,6 +6,7 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
+from quakespark.functions import geo
 from quakespark.operators import cluster, raytrace, solve, stats, weights
 from quakespark.params import IterationParams, RelocationParams, params_for
 from quakespark.plans import relocate as rel
@@ -43,14 +44,17 @@ def j11(t):
     return raytrace.used_paths(c.all_links(t))
 
 
-@query("R3_straight_rays", q.chain("""
-    SELECT sta, id, round(tt_p, 6) AS tt_p, round(tt_s, 6) AS tt_s, round(angle, 4) AS angle,
-           round(sin(angle * 3.141593e0 / 1.8e2) * cos((az - 9e1) * 3.141593e0 / 1.8e2) / 6e0, 6) AS px,
-           round(sin(angle * 3.141593e0 / 1.8e2) * cos(az * 3.141593e0 / 1.8e2) / 6e0, 6) AS py,
-           round(cos(angle * 3.141593e0 / 1.8e2) / (6e0 / 1.73e0) * (CASE WHEN h < 0 THEN -1 ELSE 1 END), 6) AS sz FROM ray""", q.RAY_STEPS))
+_ANGLE, _SPEED = "angle * 3.141593e0 / 1.8e2", {"p": "6e0", "s": "(6e0 / 1.73e0)"}
+_SLOWNESS = ", ".join(
+    f"""round(sin({_ANGLE}) * cos((az - 9e1) * 3.141593e0 / 1.8e2) / {v}, 6) AS {n}x, round(sin({_ANGLE}) * cos(az * 3.141593e0 / 1.8e2) / {v}, 6) AS {n}y,
+        round(cos({_ANGLE}) / {v} * (CASE WHEN h < 0 THEN -1 ELSE 1 END), 6) AS {n}z""" for n, v in _SPEED.items())
+
+
+@query("R3_straight_rays", q.chain(f"SELECT sta, id, round(tt_p, 6) AS tt_p, round(tt_s, 6) AS tt_s, round(angle, 4) AS angle, {_SLOWNESS} FROM ray", q.RAY_STEPS))
 def r3(t):
     out = c.rays(t, c.all_links(t)).withColumnRenamed("angle_p", "angle")
-    return rounded(out.select("sta", "id", "tt_p", "tt_s", "angle", "px", "py", "sz"), tt_p=6, tt_s=6, angle=4, px=6, py=6, sz=6)
+    partials = ("px", "py", "pz", "sx", "sy", "sz")
+    return rounded(out.select("sta", "id", "tt_p", "tt_s", "angle", *partials), tt_p=6, tt_s=6, angle=4, **{n: 6 for n in partials})
 
 
 @query("J8_R8_residuals", q.chain("SELECT id1, id2, sta, idx, round(res, 6) AS res FROM res", q.RAY_STEPS))
@@ -232,19 +236,46 @@ def r15(t):
     return solve.fix_entries(t("v_event").withColumn("fix", (F.col("id") % 8).cast("int")), [])
 
 
+# the local frame of an origin (lat0, lon0) in SQL, with the constants of ``functions.geo``
+_RAD = f"{geo.FRAME_RAD!r}::DOUBLE"
+
+
+def _geocentric(lat):
+    return f"atan(ratio * tan(({lat}) * {_RAD}))"
+
+
+def _frame(origins):
+    """Steps that add km per minute and the geocentric latitude to the rows of ``origins``."""
+    return f"""
+    f1 AS (SELECT *, tan(lat0 * {_RAD} - sin(lat0 * {_RAD} * 2) / 2.9826e2) / tan(lat0 * {_RAD}) AS ratio FROM {origins}),
+    f2 AS (SELECT *, {_geocentric('lat0')} AS here, {_geocentric('lat0 + 1e0 / 6e1')} AS next FROM f1),
+    f3 AS (SELECT *, 6.378135e3 * (1e0 - sin(here) * sin(here) / 2.9826e2) AS radius,
+                  acos(sin(here) * sin(here) + cos({_RAD} / 6e1) * cos(here) * cos(here)) AS minute FROM f2),
+    frame AS (SELECT *, radius * (next - here) AS km_lat, radius * minute / cos(here) AS km_lon FROM f3)"""
+
+
+def _north(lat):
+    return f"(({lat}) - lat0) * 6e1 * km_lat"
+
+
+def _east(lat, lon):
+    return f"(({lon}) - lon0) * 6e1 * km_lon * cos(({_geocentric(lat)} + here) / 2)"
+
+
 _START = """
-o AS (SELECT cluster_id, avg(lat) AS lat0, avg(lon) AS lon0, avg(depth_km) AS dep0 FROM v_reloc_a GROUP BY cluster_id)"""
+o AS (SELECT cluster_id, avg(lat) AS lat0, avg(lon) AS lon0, avg(depth_km) AS dep0 FROM v_reloc_a GROUP BY cluster_id),""" + _frame("o")
 
 
 @query("R11_start_sources", "WITH " + q.adapter.sql_views("v_reloc_a") + "," + _START + """
-    SELECT r.id, r.cluster_id, round(o.lat0, 6) AS lat, round(o.lon0, 6) AS lon, round(o.dep0, 6) AS depth_km, 0e0 AS x, 0e0 AS z,
-           round((r.depth_km - o.dep0) * 1e3, 3) AS z_catalog
-    FROM v_reloc_a r JOIN o ON o.cluster_id = r.cluster_id""")
+    SELECT r.id, r.cluster_id, round(o.lat0, 6) AS lat, round(o.lon0, 6) AS lon, round(o.dep0, 6) AS depth_km, 0e0 AS x, 0e0 AS y, 0e0 AS z, 0e0 AS t,
+           round((r.depth_km - o.dep0) * 1e3, 3) AS z_catalog, round(""" + _east("r.lat", "r.lon") + """ * 1e3, 1) AS x_catalog,
+           round(""" + _north("r.lat") + """ * 1e3, 2) AS y_catalog
+    FROM v_reloc_a r JOIN frame o ON o.cluster_id = r.cluster_id""")
 def r11(t):
     base = t("v_reloc_a").select("id", "cluster_id", "lat", "lon", "depth_km").join(cluster.centroids(t("v_reloc_a"), "cluster_id"), "cluster_id")
-    one = rel.initial_sources(base, "centroid").select("id", "cluster_id", "lat", "lon", "depth_km", "x", "z")
-    own = rel.initial_sources(base, "catalog").select("id", F.col("z").alias("z_catalog"))
-    return rounded(one.join(own, "id"), lat=6, lon=6, depth_km=6, z_catalog=3)
+    one = rel.initial_sources(base, "centroid").select("id", "cluster_id", "lat", "lon", "depth_km", "x", "y", "z", "t")
+    own = rel.initial_sources(base, "catalog").select("id", *[F.col(n).alias(f"{n}_catalog") for n in "xyz"])
+    return rounded(one.join(own, "id"), lat=6, lon=6, depth_km=6, x_catalog=1, y_catalog=2, z_catalog=3)
 
 
 def _step(t):
@@ -260,12 +291,21 @@ def _start(t):
     return rel.initial_sources(base.join(cluster.centroids(base, "cluster_id"), "cluster_id"))
 
 
-@query("R18_moved_sources", q.views("""
-    SELECT id, round(depth_km + (id % 13 - 6) * -1.5e0, 6) AS depth_km, round((depth_km - dep0) * 1e3 + (id % 13 - 6) * -1.5e3, 3) AS z,
-           (id % 3 - 1) + 0e0 AS t, (id % 5) / 2 AS ex FROM v_event CROSS JOIN (SELECT avg(depth_km) AS dep0 FROM v_event)""", "v_event"))
+_SHIFTED = q.adapter.sql_views("v_event") + """,
+o AS (SELECT avg(lat) AS lat0, avg(lon) AS lon0, avg(depth_km) AS dep0 FROM v_event),""" + _frame("o") + f""",
+moved AS (SELECT e.id, frame.*, e.depth_km + (e.id % 13 - 6) * -1.5e0 AS depth_km, (e.depth_km - dep0) * 1e3 + (e.id % 13 - 6) * -1.5e3 AS z,
+                 {_east('e.lat', 'e.lon')} * 1e3 + (e.id % 11 - 5) * 1e1 AS x, {_north('e.lat')} * 1e3 + (e.id % 7 - 3) * 1e1 AS y
+          FROM v_event e CROSS JOIN frame),
+back AS (SELECT *, lat0 + y / 1e3 / km_lat / 6e1 AS lat FROM moved)"""
+
+
+@query("R18_moved_sources", f"""WITH {_SHIFTED}
+    SELECT id, round(lat, 6) AS lat, round(lon0 + x / 1e3 / (km_lon * cos(({_geocentric('lat')} + here) / 2)) / 6e1, 6) AS lon,
+           round(depth_km, 6) AS depth_km, round(x, 1) AS x, round(y, 2) AS y, round(z, 3) AS z, (id % 3 - 1) + 0e0 AS t,
+           (id % 5) / 2 AS ex, (id % 6) / 2 AS ey, (id % 7) / 2 AS ez, (id % 8) / 2 AS et FROM back""")
 def r18(t):
     moved = rel.moved_sources(_start(t), _step(t))
-    return rounded(moved.select("id", "depth_km", "z", "t", "ex"), depth_km=6, z=3)
+    return rounded(moved.select("id", "lat", "lon", "depth_km", "x", "y", "z", "t", "ex", "ey", "ez", "et"), lat=6, lon=6, depth_km=6, x=1, y=2, z=3)
 
 
 @query("F18_air_quakes", q.views("SELECT id FROM v_event WHERE depth_km + (id % 13 - 6) * -1.5e0 < 0", "v_event"))
@@ -273,14 +313,16 @@ def f18(t):
     return rel.air_quakes(_step(t), _start(t)).select("id")
 
 
-@query("A14_shift_summary", q.views("""
-    SELECT round(avg(abs((id % 11 - 5) * 1e1)), 6) AS mean_abs_dx, round(avg(abs((id % 13 - 6) * -1.5e3)), 5) AS mean_abs_dz,
-           round(avg((id % 5) / 2), 6) AS mean_ex, round(avg((id % 7 - 3) * 1e1), 6) AS centroid_y, round(avg(id % 3 - 1), 6) AS centroid_t
-    FROM v_event""", "v_event"))
+_STEPS = {"dx": "(id % 11 - 5) * 1e1", "dy": "(id % 7 - 3) * 1e1", "dz": "(id % 13 - 6) * -1.5e3", "dt": "(id % 3 - 1)"}
+_SUMMARY = [f"round(avg(abs({v})), 5) AS mean_abs_{n}" for n, v in _STEPS.items()]
+_SUMMARY += [f"round(avg((id % {k}) / 2), 5) AS mean_{n}" for n, k in (("ex", 5), ("ey", 6), ("ez", 7), ("et", 8))]
+_SUMMARY += [f"round(avg({v}), 5) AS centroid_{n[1]}" for n, v in _STEPS.items()]
+
+
+@query("A14_shift_summary", q.views(f"SELECT {', '.join(_SUMMARY)} FROM v_event", "v_event"))
 def a14(t):
     out = stats.shift_summary(rel.moved_sources(_start(t), _step(t)))
-    cols = {"mean_abs_dx": 6, "mean_abs_dz": 5, "mean_ex": 6, "centroid_y": 6, "centroid_t": 6}
-    return rounded(out.select(*cols), **cols)
+    return rounded(out, **{n: 5 for n in out.columns})
 
 
 @query("R19_separations", q.chain("""
