@@ -221,12 +221,12 @@ def r13(t):
     JOIN u ON u.id1 = e.id1 AND u.id2 = e.id2 AND u.sta = e.sta AND u.idx = e.idx GROUP BY e.id, e.param""", q.RAY_STEPS, _USED, _ENTRY))
 def r14_product(t):
     """One product of the solver: design matrix transposed times the weighted residuals."""
-    rows = solve.flat_rows(_used(t), []).select(
-        "id1", "id2", "res", "wt",
-        F.array(*[F.col(p) * F.col("wt") for p in solve.PARTIALS[:3]], F.col("wt")).alias("g1"),
-        F.array(*[F.col(p) * F.col("wt") for p in solve.PARTIALS[3:]], F.col("wt")).alias("g2"))
-    sums = solve._by_event(rows, F.col("res") * 1000.0 * F.col("wt"), [])
-    return sums.select("id", F.posexplode("s").alias("param", "product")).withColumn("product", F.round("product", 3))
+    sums = solve.event_sums(solve.pair_blocks(_fixed(_used(t)), []), [])
+    return sums.select("id", F.posexplode("data").alias("param", "product")).withColumn("product", F.round("product", 3))
+
+
+def _fixed(links):
+    return links.withColumn("fix1", F.lit(0)).withColumn("fix2", F.lit(0))
 
 
 @query("R15_fix_rows", q.views("""
@@ -368,6 +368,31 @@ def r7(t):
     return raytrace.travel_times(_paths(t, stations), MODELS, "station")
 
 
+@query("R14_solution", q.chain("SELECT DISTINCT id, TRUE AS solved, TRUE AS has_errors FROM (SELECT id1 AS id FROM u UNION SELECT id2 FROM u)", q.RAY_STEPS, _USED))
+def r14(t):
+    """Damped least squares of all links, held against the normal equations formed from R12 and R13.
+
+    An event is solved where no component of the scaled gradient is above 1e-5 of the data's length.
+    """
+    links = checkpointed(_fixed(_used(t)).withColumn("cluster_id", F.lit(1)))
+    found = checkpointed(solve.solve_distributed(links, "cluster_id", c.STEP.damp))
+    values = found.select("id", F.posexplode(F.array(*[-F.col(n) for n in solve.SOLUTION[:4]])).alias("param", "x"))
+    entries = checkpointed(solve.design_entries(links, []))
+    link = ["id1", "id2", "sta", "idx"]
+    fitted = entries.join(values, ["id", "param"]).groupBy(*link).agg(F.sum(F.col("value") * F.col("x")).alias("fit"))
+    data = links.select(*link, (F.col("wt") * F.col("res") * 1000.0).alias("d"))
+    rest = entries.join(data, link).join(fitted, link)
+    sums = rest.groupBy("id", "param").agg(
+        F.sum(F.col("value") * F.col("d")).alias("b"), F.sum(F.col("value") * (F.col("d") - F.col("fit"))).alias("g"))
+    scaled = sums.join(values, ["id", "param"]).join(solve.column_norms(links, []), ["id", "param"]).select(
+        "id", (F.col("b") / F.col("norm")).alias("b"), (F.col("g") / F.col("norm") - c.STEP.damp**2 * F.col("norm") * F.col("x")).alias("g"))
+    scaled = checkpointed(scaled)
+    length = scaled.agg(F.sqrt(F.sum(F.col("b") * F.col("b"))).alias("length"))  # one row is joined
+    held = scaled.crossJoin(length).groupBy("id").agg(F.bool_and(F.abs("g") <= F.col("length") * 1e-5).alias("solved"))
+    errors = F.forall(F.array(*solve.SOLUTION[4:], "cond"), lambda e: e > 0)
+    return held.join(found.select("id", errors.alias("has_errors")), "id")
+
+
 def _solver_input(t):
     rows = _used(t).withColumn("cluster_id", F.lit(1).cast("bigint"))
     return rows.withColumn("fix1", F.lit(0)).withColumn("fix2", F.lit(0))
@@ -385,13 +410,6 @@ def r14(t):
     return _solved(t, "lsqr")
 
 
-@query("R14_distributed")
-def r14_distributed(t):
-    """The same system solved by joins and sums."""
-    rows = solve.flat_rows(_solver_input(t), ["cluster_id", "fix1", "fix2"])
-    return solve.solve_distributed(rows, "cluster_id", c.STEP.damp, max_steps=12)
-
-
 @query("R16_svd")
 def r16(t):
     """Dense singular value decomposition; systems beyond its limits are solved like R14."""
