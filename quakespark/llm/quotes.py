@@ -12,6 +12,8 @@ from quakespark.session import checkpointed
 
 #: Quote marks at the start of a line; each ">" is a level.
 _MARKS = r"^((?:[ \t]*>)+)"
+#: The same anywhere in a text; only a line feed ends a line.
+_ANY_MARKS = "(?md)" + _MARKS
 #: A line that announces a quote, dropped when a quoted line follows.
 _ATTRIBUTION = r"(?i)^[ \t]*(?:on|am|le|el)\b.*\b(?:wrote|schrieb|écrit|a écrit|escribió)\b.*:[ \t\r]*$"
 #: Characters of a passage that can be linked; shorter ones occur by chance.
@@ -44,7 +46,7 @@ def without_quotes(text: str) -> Column:
 
     # the outer lambda binds the split text once
     kept = F.transform(F.array(F.split(F.coalesce(text, F.lit("")), "\n")), own)[0]
-    return F.when(F.coalesce(F.col(text), F.lit("")).rlike("(?m)" + _MARKS), F.regexp_replace(kept, r"^\s+|\s+$", "")).otherwise(F.coalesce(text, F.lit("")))
+    return F.when(F.coalesce(F.col(text), F.lit("")).rlike(_ANY_MARKS), F.regexp_replace(kept, r"^\s+|\s+$", "")).otherwise(F.coalesce(text, F.lit("")))
 
 
 def _usable(passage: Column | str) -> Column:
@@ -58,7 +60,7 @@ def quoted_passages(messages: DataFrame) -> DataFrame:
     they quote. A message counts once, however often its row repeats.
     """
     placed = messages.filter(F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
-    quoting = placed.filter(F.coalesce("text", F.lit("")).rlike("(?m)" + _MARKS)).select(*_MESSAGE, "text").dropDuplicates(["key"])
+    quoting = placed.filter(F.coalesce("text", F.lit("")).rlike(_ANY_MARKS)).select(*_MESSAGE, "text").dropDuplicates(["key"])
     lines = quoting.select(*_MESSAGE, F.posexplode(F.split("text", "\n")).alias("at", "line")).withColumn("level", level_of("line"))
     quoted = lines.filter(F.col("level") > 0).withColumn("body", _body("line"))
     # consecutive places of one level keep their distance to their rank; at most one message's lines in a group

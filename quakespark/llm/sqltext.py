@@ -2,6 +2,65 @@
 
 from __future__ import annotations
 
+#: Takes (conv_id, turn) as the name of a message; passages are compared as text where the operator compares their hashes.
+OP1 = r"""
+WITH RECURSIVE split AS (
+  SELECT conv_id, turn, role, text, string_split(coalesce(text, ''), chr(10)) AS lines,
+         row_number() OVER (ORDER BY conv_id NULLS FIRST, turn NULLS FIRST, role, text) AS id
+  FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations)
+), parsed AS (
+  SELECT *, list_transform(lines, lambda x: len(regexp_replace(regexp_extract(x, '^(?:[ \t]*>)+'), '[^>]', '', 'g'))) AS levels FROM split
+), m AS (
+  SELECT *, CASE WHEN list_max(levels) > 0 THEN regexp_replace(array_to_string(list_filter(lines, lambda x, i:
+      levels[i] = 0 AND NOT (coalesce(levels[i + 1], 0) > 0
+        AND regexp_matches(x, '(?i)^[ \t]*(?:on|am|le|el)\b.*\b(?:wrote|schrieb|écrit|a écrit|escribió)\b.*:[ \t\r]*$'))), chr(10)),
+      '^[ \t\n\x0B\f\r]+|[ \t\n\x0B\f\r]+$', '', 'g') ELSE coalesce(text, '') END AS own
+  FROM parsed
+), marked AS (
+  SELECT id, unnest(lines) AS line, unnest(levels) AS level, generate_subscripts(lines, 1) AS place
+  FROM m WHERE conv_id IS NOT NULL AND turn IS NOT NULL
+), quoted AS (
+  SELECT id, level, place, place - row_number() OVER (PARTITION BY id, level ORDER BY place) AS run, regexp_replace(line, '^(?:[ \t]*>)+', '') AS body
+  FROM marked WHERE level > 0
+), asked AS (
+  SELECT DISTINCT id, level, trim(regexp_replace(lower(passage), '[ \t\n\x0B\f\r\x{A0}]+', ' ', 'g'), ' ') AS passage FROM (
+    SELECT id, level, body AS passage FROM quoted
+    UNION ALL SELECT id, level, string_agg(body, ' ' ORDER BY place) FROM quoted GROUP BY id, level, run
+  )
+), said AS (
+  SELECT id, conv_id, trim(regexp_replace(lower(passage), '[ \t\n\x0B\f\r\x{A0}]+', ' ', 'g'), ' ') AS passage FROM (
+    SELECT id, conv_id, unnest(list_concat(regexp_split_to_array(own, '\n[ \t\r]*\n'), string_split(own, chr(10)))) AS passage
+    FROM m WHERE conv_id IS NOT NULL AND turn IS NOT NULL
+  )
+), near AS (SELECT passage, conv_id, min(id) AS id FROM said GROUP BY passage, conv_id
+), far AS (SELECT passage, min(id) AS id FROM said GROUP BY passage
+), found AS (
+  SELECT a.id, a.level, CASE WHEN n.turn < me.turn THEN n.id WHEN (f.conv_id, f.turn) < (me.conv_id, me.turn) THEN f.id END AS of_id, len(a.passage) AS size
+  FROM asked a JOIN m me ON me.id = a.id
+  LEFT JOIN near ON near.passage = a.passage AND near.conv_id = me.conv_id LEFT JOIN m n ON n.id = near.id
+  LEFT JOIN far ON far.passage = a.passage LEFT JOIN m f ON f.id = far.id
+  WHERE len(a.passage) >= 8
+), links AS (SELECT id, level, of_id, sum(size) AS size FROM found WHERE of_id IS NOT NULL GROUP BY id, level, of_id
+), counts AS (SELECT id, count(*) AS n_links FROM links GROUP BY id
+), parents AS (
+  SELECT id, of_id FROM links QUALIFY row_number() OVER (PARTITION BY id ORDER BY level, size DESC, of_id DESC) = 1
+), chain(id, top, depth) AS (
+  SELECT id, of_id, 1 FROM parents
+  UNION ALL
+  SELECT c.id, p.of_id, c.depth + 1 FROM chain c JOIN parents p ON p.id = c.top
+), roots AS (SELECT id, arg_max(top, depth) AS root, max(depth) AS depth FROM chain GROUP BY id
+), placed AS (
+  SELECT m.*, coalesce(n_links, 0) AS n_links, reply.conv_id AS reply_conv, reply.turn AS reply_turn,
+         CASE WHEN roots.id IS NULL THEN m.conv_id ELSE start.conv_id END AS thread_conv, coalesce(depth, 0) AS depth
+  FROM m LEFT JOIN counts USING (id) LEFT JOIN parents USING (id) LEFT JOIN m reply ON reply.id = of_id
+  LEFT JOIN roots USING (id) LEFT JOIN m start ON start.id = root
+), numbered AS (SELECT *, row_number() OVER (PARTITION BY thread_conv ORDER BY id) - 1 AS position FROM placed)
+SELECT c.conv_id, c.turn, c.role, len(list_filter(levels, lambda x: x > 0)) AS n_quoted, CAST(list_max(levels) AS INTEGER) AS max_level,
+       n_links, reply_conv, reply_turn, thread_conv, CAST(depth AS INTEGER) AS depth, position, sha256(own) AS text_sha256
+FROM conversations c JOIN numbered n ON c.conv_id IS NOT DISTINCT FROM n.conv_id AND c.turn IS NOT DISTINCT FROM n.turn
+  AND c.role IS NOT DISTINCT FROM n.role AND c.text IS NOT DISTINCT FROM n.text
+"""
+
 OP2 = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
@@ -86,4 +145,4 @@ FROM c
 """
 
 #: The other queries need a tokenizer's tables, trained numbers or XXH64, or follow links; they are tested against brute force.
-ORACLES = {"op2_vector_approximation": OP2, "op7_line_dedup": OP7, "op9_pareto_mix": OP9}
+ORACLES = {"op1_quotation_linking": OP1, "op2_vector_approximation": OP2, "op7_line_dedup": OP7, "op9_pareto_mix": OP9}

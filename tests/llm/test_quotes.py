@@ -1,9 +1,10 @@
 import random
 import re
 
+import duckdb
 import pytest
 
-from quakespark.llm import quotes
+from quakespark.llm import queries, quotes
 
 COLUMNS = "conv_id bigint, turn bigint, role string, text string, depth string, position int, key string"
 MARKS = re.compile(r"^((?:[ \t]*>)+)")
@@ -99,6 +100,23 @@ def test_against_all_messages(spark, seed):
         assert [p for p, *_ in found] == list(range(len(found))) and [f[1:] for f in found] == sorted(f[1:] for f in found)
 
 
+def test_against_sql(spark, tmp_path):
+    rows = [
+        *corpus(3), *corpus(3)[:1], (None, 0, "user", "> nobody ever said this thing"), (9, 0, None, None), (9, 1, "user", ""),
+        (9, 2, "user", ">>\u00a0Twice\tquoted words \n>> here and there\n> and once\r\n\n mine, twice quoted words here and there\n"),
+        (9, 3, "user", "twice quoted words here and there\r> no quote"), (10, 0, "user", " >Mine, twice quoted words here and there"),
+    ]
+    spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = queries.op1_quotation_linking(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    cur = con.execute(queries.ORACLES["op1_quotation_linking"])
+    names = [d[0] for d in cur.description]
+    order = lambda rs: sorted((tuple(r) for r in rs), key=str)
+    assert sorted(names) == sorted(got.columns)
+    assert order(got.select(*names).collect()) == order(cur.fetchall())
+
+
 def test_levels_and_repeats(spark):
     rows = [
         (1, 0, "user", "the first thing I have to say"),
