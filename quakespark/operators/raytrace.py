@@ -138,9 +138,10 @@ def direct_rays(delta, inside, thickness, layer: int, v, steps: int = 60) -> tup
         s = s + step
         if np.all(np.abs(delta - reached) < 1e-9):
             break
-    ray = s / np.sqrt(1.0 + s**2)
-    cosine = np.sqrt(np.maximum(1.0 - (rel * ray[:, None]) ** 2, 1e-300))
-    return (legs / (speed * cosine)).sum(axis=1), rel[layer] * ray
+    stretch = np.sqrt(1.0 + s**2)
+    # cosines from the tangent: a nearly level ray keeps its digits
+    cosine = np.sqrt(1.0 + s[:, None] ** 2 * (1.0 - rel**2)) / stretch[:, None]
+    return (legs / (speed * cosine)).sum(axis=1), rel[layer] * s / stretch
 
 
 def first_arrivals(delta, depth, elev, top, v) -> tuple[np.ndarray, np.ndarray]:

@@ -343,29 +343,91 @@ def j10(t):
     return raytrace.model_of_station(stations, t.spark.createDataFrame(MODELS, raytrace.MODEL_SCHEMA)).select("sta", "model_id")
 
 
-# --- layered models, solver and whole runs: no SQL counterpart, tested on small fixtures -----------
+# --- layered models ------------------------------------------------------------------------------
 
 TOP, VP = [0.0, 1.0, 3.0, 5.0, 9.0, 15.0, 25.0], [3.2, 4.8, 5.4, 5.7, 6.2, 6.6, 8.0]
 LAYERED = raytrace.velocity_model(TOP, VP, [1.73] * 7)
 MODELS = LAYERED + raytrace.velocity_model(TOP, [v * 1.05 for v in VP], [1.75] * 7, model_id=2) + raytrace.velocity_model(
     TOP, [v * 0.95 for v in VP], [1.7] * 7, model_id=3)
 
+_OWN_MODEL = "CASE WHEN CAST(round(s.elev_km * 1e1) AS INT) % 5 IN (1, 2, 3) THEN CAST(round(s.elev_km * 1e1) AS INT) % 5 ELSE 1 END"
+
+
+def _layered_sql(model: list[tuple], which: str) -> str:
+    """First arrivals of every path: the direct ray by halving an interval, head waves from their closed form."""
+    rows = []
+    for n in sorted({m[0] for m in model}):
+        columns = zip(*(m[1:] for m in model if m[0] == n), strict=True)
+        rows.append(f"({n}, " + ", ".join("[" + ", ".join(f"{x!r}e0" for x in column) + "]" for column in columns) + ")")
+    level = "sqrt(1e0 + s * s * (1e0 - rel[i] * rel[i]))"
+    slow = "sqrt(v[m] * v[m] - v[i] * v[i])"
+    a = "angle * 3.141593e0 / 1.8e2"
+    values = {
+        "tt": "time", "angle": "angle", "x": f"sin({a}) * cos((az - 9e1) * 3.141593e0 / 1.8e2) / v[src]",
+        "y": f"sin({a}) * cos(az * 3.141593e0 / 1.8e2) / v[src]", "z": f"cos({a}) / v[src]",
+    }
+    wide = ", ".join(
+        f"round(max({x}) FILTER (phase = '{w}'), {4 if n == 'angle' else 6}) AS {w + n if n in 'xyz' else n + '_' + w}" for w in "ps" for n, x in values.items())
+    steps = f"""
+model(model_id, top, vp, vs) AS (VALUES {", ".join(rows)}),
+shot AS (
+  SELECT g.sta, g.id, g.dist, g.az, s.elev_km, w.phase, m.top, CASE w.phase WHEN 'p' THEN m.vp ELSE m.vs END AS v,
+         CASE WHEN len(list_filter(m.top, lambda t: abs(e.depth_km - t) < 1e-4)) > 0 THEN e.depth_km - 1e-3 ELSE e.depth_km END AS depth
+  FROM geom g JOIN v_event e ON e.id = g.id JOIN v_station s ON s.sta = g.sta JOIN model m ON m.model_id = {which}
+  CROSS JOIN (VALUES ('p'), ('s')) w(phase)),
+lifted AS (SELECT *, depth + elev_km AS below, list_transform(top, lambda t, i: CASE WHEN i = 1 THEN 0e0 ELSE t + elev_km END) AS st FROM shot),
+placed AS (SELECT *, greatest(1, len(list_filter(st, lambda t: t < below))) AS k, greatest(1, len(list_filter(top, lambda t: t < depth))) AS src FROM lifted),
+legs AS MATERIALIZED (
+  SELECT *, below - st[k] AS inside, list_transform(range(1, k + 1), lambda i: CASE WHEN i = k THEN below - st[k] ELSE st[i + 1] - st[i] END) AS leg,
+         list_transform(v[1:k], lambda x: x / list_max(v[1:k])) AS rel FROM placed),
+halved(sta, id, phase, lo, hi, n) AS (
+  SELECT sta, id, phase, 0e0, dist / list_sum(list_transform(range(1, k + 1), lambda i: CASE WHEN rel[i] = 1 THEN leg[i] ELSE 0e0 END)), 0 FROM legs
+  UNION ALL
+  SELECT sta, id, phase, CASE WHEN reached < dist THEN s ELSE lo END, CASE WHEN reached < dist THEN hi ELSE s END, n + 1 FROM (
+    SELECT *, list_sum(list_transform(range(1, k + 1), lambda i: leg[i] * rel[i] * s / {level})) AS reached
+    FROM (SELECT h.*, (lo + hi) / 2 AS s, dist, k, leg, rel FROM halved h JOIN legs USING (sta, id, phase) WHERE n < 90))),
+direct AS (
+  SELECT *, list_sum(list_transform(range(1, k + 1), lambda i: leg[i] * sqrt(1e0 + s * s) / (v[i] * {level}))) AS t_up, rel[k] * s / sqrt(1e0 + s * s) AS u_up
+  FROM (SELECT l.*, (lo + hi) / 2 AS s FROM halved JOIN legs l USING (sta, id, phase) WHERE n = 90)),
+refractor AS (SELECT *, unnest(range(k + 1, len(v) + 1)) AS m FROM legs),
+head AS (
+  SELECT sta, id, phase, min(t) AS t_head, arg_min(u, t) AS u_head FROM (
+    SELECT sta, id, phase, dist, v[k] / v[m] AS u,
+           dist / v[m] + list_sum(list_transform(range(1, m), lambda i:
+             ((st[i + 1] - st[i]) * (CASE WHEN i < k THEN 1 ELSE 2 END) - (CASE WHEN i = k THEN inside ELSE 0e0 END)) * {slow} / (v[i] * v[m]))) AS t,
+           list_sum(list_transform(range(1, m), lambda i:
+             ((st[i + 1] - st[i]) * (CASE WHEN i < k THEN 1 ELSE 2 END) - (CASE WHEN i = k THEN inside ELSE 0e0 END)) * v[i] / {slow})) AS critical
+    FROM refractor WHERE v[m] > list_max(v[1:m - 1])) WHERE critical <= dist GROUP BY sta, id, phase),
+arrival AS (
+  SELECT d.*, CASE WHEN t_head < t_up THEN t_head ELSE t_up END AS time,
+         CASE WHEN t_head < t_up THEN asin(u_head) * 5.72958e1 ELSE 1.8e2 - asin(least(u_up, 1e0)) * 5.72958e1 END AS angle
+  FROM direct d LEFT JOIN head USING (sta, id, phase))"""
+    select = f"SELECT sta, id, round(max(dist), 5) AS dist, round(max(az), 5) AS az, {wide} FROM arrival GROUP BY sta, id"
+    return q.chain(select, q.RAY_STEPS, steps).replace("WITH ", "WITH RECURSIVE ", 1)
+
 
 def _paths(t, stations):
     return raytrace.path_geometry(raytrace.used_paths(c.all_links(t)), t("v_event"), stations)
 
 
-@query("R4_R5_R6_layered_rays")
+def _rounded_rays(out):
+    return rounded(out, dist=5, az=5, angle_p=4, angle_s=4, **{n: 6 for n in raytrace.TT_COLUMNS})
+
+
+@query("R4_R5_R6_layered_rays", _layered_sql(LAYERED, "1"))
 def r6(t):
     """First arrivals (direct or head wave) of every used path in a layered model."""
-    return raytrace.travel_times(_paths(t, t("v_station")), LAYERED, "layered")
+    return _rounded_rays(raytrace.travel_times(_paths(t, t("v_station")), LAYERED, "layered"))
 
 
-@query("R7_station_models")
+@query("R7_station_models", _layered_sql(MODELS, _OWN_MODEL))
 def r7(t):
     stations = t("v_station").withColumn("model_id", F.round(F.col("elev_km") * 10).cast("int") % 5)
     stations = raytrace.model_of_station(stations, t.spark.createDataFrame(MODELS, raytrace.MODEL_SCHEMA))
-    return raytrace.travel_times(_paths(t, stations), MODELS, "station")
+    return _rounded_rays(raytrace.travel_times(_paths(t, stations), MODELS, "station"))
+
+
+# --- solver and whole runs ----------------------------------------------------------------------
 
 
 @query("R14_solution", q.chain("SELECT DISTINCT id, TRUE AS solved, TRUE AS has_errors FROM (SELECT id1 AS id FROM u UNION SELECT id2 FROM u)", q.RAY_STEPS, _USED))
