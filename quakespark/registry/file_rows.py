@@ -167,8 +167,11 @@ def _grid(place):
     return F.signum(place) * (whole + F.floor((F.abs(place) - whole) * 6000.0) / 6000.0)
 
 
-def _archive_text(t):
-    """Events and picks laid out in the fixed columns of the long archive format, on the steps that it resolves."""
+def _archive_text(t, layout="long"):
+    """Events and picks laid out in the fixed columns of an archive format, on the steps that it resolves.
+
+    The short layout has years of two digits, all written as 84, and names verticals by a V in the site code.
+    """
     events = t("v_event").withColumns({
         "lat": _grid(F.col("lat")), "lon": _grid(F.col("lon")), "origin_time": F.date_trunc("second", "origin_time").cast("timestamp_ntz")})
     p = timefn.timestamp_parts("origin_time")
@@ -176,9 +179,9 @@ def _archive_text(t):
         "hund": F.floor(F.col("sc") * 100 + 1e-6), "la": F.floor("lat"), "lo": F.floor(F.abs("lon"))})
     minutes = lambda v, d: F.round((v - d) * 6000.0).cast("bigint")
     head = F.format_string(
-        "%04d%02d%02d%02d%02d%04d%2d %4d%3d %4d%5d", "yr", "mo", "dy", "hr", "mi", "hund", F.col("la"),
+        "%s%02d%02d%02d%02d%04d%2d %4d%3d %4d%5d", F.format_string("%04d", "yr") if layout == "long" else F.lit("84"), "mo", "dy", "hr", "mi", "hund", F.col("la"),
         minutes(F.col("lat"), F.col("la")), F.col("lo"), minutes(F.abs("lon"), F.col("lo")), F.round(F.col("depth_km") * 100).cast("bigint"))
-    head = F.concat(F.rpad(head, 136, " "), F.format_string("%10d", "id"))
+    head = F.concat(F.rpad(head, 136 if layout == "long" else 128, " "), F.format_string("%10d", "id"))
     code = F.when(F.abs("weight") == 1, 0).when(F.abs("weight") == 0.5, 1).when(F.abs("weight") == 0.2, 2).otherwise(3)
     picks = t("v_pick").withColumn("tt", F.floor(F.col("tt") * 100.0) / 100.0)
     joined = picks.join(e.select("id", "mi", "sc"), "id")
@@ -187,7 +190,13 @@ def _archive_text(t):
     blank5 = F.lit("     ")
     is_p = F.col("phase") == "P"
     importance = F.when(F.col("weight") < 0, " 900").otherwise(" 100")
-    pick = F.concat(
+    short = F.concat(
+        F.lit("S"), F.substring("sta", 3, 2), F.when(is_p, "V").otherwise("N"), F.when(is_p, "P ").otherwise("  "), F.lit(" "),
+        F.when(is_p, code.cast("string")).otherwise("4"), F.lit(" " * 9), F.format_string("%2d", "mi"),
+        F.when(is_p, hundredths).otherwise(blank5), F.lit(" " * 7), F.when(is_p, blank5).otherwise(hundredths),
+        F.when(is_p, "  ").otherwise("S "), F.lit(" "), F.when(is_p, "4").otherwise(code.cast("string")), F.lit(" " * 42),
+        F.when(is_p, importance).otherwise("   0"), F.when(is_p, "   0").otherwise(importance), F.lit("    Q  EXX"))
+    pick = short if layout == "short" else F.concat(
         F.rpad("sta", 5, " "), F.lit("XX  HH"), F.when(is_p, "Z").otherwise("N"), F.lit(" "),
         F.when(is_p, "P ").otherwise("  "), F.lit(" "), F.when(is_p, code.cast("string")).otherwise("4"),
         F.lit("          "), F.format_string("%2d", "mi"), F.when(is_p, hundredths).otherwise(blank5), F.lit(" " * 7),
@@ -221,6 +230,24 @@ def f24(t):
     return rounded(picks.select("id", "sta", "phase", "weight", "tt"), tt=2)
 
 
+@query("S11_archive_events_short", q.views(f"""
+    SELECT id, {_grid_sql('lat')} AS lat, {_grid_sql('lon')} AS lon, depth_km,
+           make_timestamp(1984, month(origin_time), day(origin_time), hour(origin_time), minute(origin_time), CAST(second(origin_time) AS DOUBLE)) AS origin_time
+    FROM v_event""", "v_event"))
+def s11_short(t):
+    out = archive.archive_events(archive.read_archive(t.spark, _archive_text(t, "short")))
+    return rounded(out.select("id", "lat", "lon", "depth_km", "origin_time"), lat=6, lon=6)
+
+
+@query("F24_archive_picks_short", q.views("""
+    SELECT id, concat('XXS', substr(sta, 3, 2), CASE phase WHEN 'P' THEN 'VQ' ELSE 'NQ' END) AS sta, phase, weight, round(floor(tt * 1e2) / 1e2, 2) AS tt
+    FROM v_pick""", "v_event", "v_station", "v_pick"))
+def f24_short(t):
+    """The layout with years of two digits, verticals known by the site code."""
+    picks = archive.archive_picks(archive.read_archive(t.spark, _archive_text(t, "short")), archive.ArchiveRules(site_vertical=True))
+    return rounded(picks.select("id", "sta", "phase", "weight", "tt"), tt=2)
+
+
 @query("S12_station_archive", q.views("SELECT rpad(concat('XX', sta), 7, ' ') AS sta, round(lat, 5) AS lat, round(lon, 5) AS lon FROM v_station", "v_station"))
 def s12(t):
     path = _path(t, "station-archive")
@@ -276,6 +303,20 @@ def s15(t):
     return rounded(text.read_velocity_table(t.spark, path), vp_vs=6)
 
 
+@query("S15_station_models", q.views("""
+    SELECT CAST(substr(sta, 2) AS INT) AS model_id, 0e0 AS top, round(lat / 1e1, 4) AS vp, round(round(lat / 1e1, 4) / 2, 5) AS vs FROM v_station
+    UNION ALL
+    SELECT CAST(substr(sta, 2) AS INT), round(elev_km, 4), round(abs(lon) / 1e2, 4), round(round(abs(lon) / 1e2, 4) / 2, 5) FROM v_station""", "v_station"))
+def s15_models(t):
+    """A model of two layers for each station."""
+    path = _path(t, "station-models")
+    vp = F.round(F.col("lat") / 10, 4), F.round(F.abs("lon") / 100, 4)
+    layers = [F.concat_ws(" ", *(x.cast("string") for x in (top, v, F.round(v / 2, 5)))) for top, v in zip((F.lit(0.0), F.round("elev_km", 4)), vp, strict=True)]
+    head = F.concat(F.substring("sta", 2, 9).cast("int").cast("string"), F.lit(" 2"))
+    sink.write_lines(t("v_station").select(F.col("sta").alias("key"), F.concat_ws("\n", head, *layers).alias("line")), ["key"], path)
+    return text.read_station_models(t.spark, path)
+
+
 @query("S16_K7_station_results", q.views("""
     SELECT sta, round(lat, 4) AS lat, round(lon, 4) AS lon, CAST(count(*) FILTER (phase = 'P') AS INT) AS n_ct_p,
            CAST(count(*) FILTER (phase = 'S') AS INT) AS n_ct_s, 1 AS cluster_id

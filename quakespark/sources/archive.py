@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quakespark.functions import timefn
-from quakespark.sources.text import _ordered
+from quakespark.sources.text import _ordered, required
 
 # 1-based first and last column and implied decimals of every field, per layout.
 HEADER_COLUMNS = {
@@ -48,9 +48,9 @@ def fixed(line, first: int, last: int) -> Column:
 
 
 def fixed_number(line, first: int, last: int, decimals: int = 0) -> Column:
-    """Number in fixed columns: blanks are zero, a missing point stands before ``decimals`` digits."""
+    """Number in fixed columns: blanks are zero, a missing point stands before ``decimals`` digits; other text fails the job."""
     text = F.replace(fixed(line, first, last), F.lit(" "), F.lit(""))
-    value = F.when(text == "", F.lit(0.0)).otherwise(text.try_cast("double"))
+    value = F.when(text == "", F.lit(0.0)).otherwise(required(text, "double", "number in fixed columns"))
     return F.when(F.contains(text, F.lit(".")), value).otherwise(value / float(10**decimals))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quakespark import schemas
@@ -194,11 +195,9 @@ def read_velocity_table(spark: SparkSession, path: str, skip_lines: int = 1) ->
 def read_station_models(spark: SparkSession, path: str) -> DataFrame:
     """Models per station: lines ``id n`` followed by n lines of top, Vp, Vs."""
     lines = read_lines(spark, path).withColumn("_n", F.size("tok"))
-    from pyspark.sql import Window as W
-
     down = W.partitionBy("src.file").orderBy("src").rowsBetween(W.unboundedPreceding, 0)
     head = F.when(F.col("_n") == 2, F.get("tok", F.lit(0)).cast("int"))
-    t = [F.get("tok", F.lit(i)).try_cast("double") for i in range(3)]
+    t = [required(F.get("tok", F.lit(i)), "double", "layer of a model") for i in range(3)]
     return (
         lines.withColumn("model_id", F.last(head, ignorenulls=True).over(down))
         .filter(F.col("_n") >= 3)
