@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import string
 
 import public_tokenizers
 import pytest
@@ -75,3 +77,45 @@ def test_rows(docs):
             assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(w.startswith(k) for w in want) for k in ("assign", "access", "hex"))
     assert len(by[1]) == 2 and by[1][0] == by[1][1] and by[None][0].n_access == 1
     assert scan.scan(docs([]), PATH, public_tokenizers.PATTERN).collect() == []
+
+
+@pytest.mark.parametrize("size", [24, 40])
+@pytest.mark.parametrize("before, after", [
+    ("backend/services/production/configuration/credentials/primary/", ""), ("https/api/example/com/v1/users/accounts/callback/session=", ""),
+    ("some_variable_name_", "_of_production_configuration"), ("", "/production/configuration/credentials/primary"),
+])
+def test_random_strings_joined_to_readable_text(size, before, after):
+    rng = random.Random(size)
+    for _ in range(20):
+        secret = "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(size))
+        if not scan._random(secret, ENCODING, scan.RATIO):
+            continue
+        start = 4 + len(before)
+        found = [s for s in scan.spans(f"see {before}{secret}{after} here", ENCODING) if s[2] == "token"]
+        assert len(found) == 1 and found[0][0] <= start + 4 and found[0][1] >= start + size - 4
+
+
+def test_random_strings_without_a_joining_character():
+    rng = random.Random(3)
+    for _ in range(20):
+        secret = "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(40))
+        text = "internationalization" + secret
+        found = [s for s in scan.spans(text, ENCODING) if s[2] == "token"]
+        assert found and found[-1][1] >= 20 + scan.LEAST
+
+
+@pytest.mark.parametrize("text", [
+    "backend/objects/d41d8cd98f00b204e9800998ecf8427e/of/production", "users/accounts/123e4567-E89B-12d3-a456-426614174000/of/Production",
+    "configuration/getElementByIdentifier/internationalization2024x", "production/2024-01-31/2024-02-29/primary-v2a-configuration",
+])
+def test_readable_runs_are_left_alone(text):
+    assert not [s for s in scan.spans(f"a {text} b", ENCODING) if s[2] == "token"]
+
+
+def test_long_runs_of_both_kinds():
+    rng = random.Random(5)
+    secret = "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(40))
+    filler = "production/Configuration9x/credentials/"
+    text = (filler * 230 + secret + "/") * 4
+    found = scan.random_spans(text, ENCODING)
+    assert len(found) == 4 and all(secret[4:-4] in text[a:b] and b - a <= 60 for a, b in found)
