@@ -38,6 +38,8 @@ _UUID = re.compile(r"(?ai:[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-
 _IDENTIFIER = re.compile(r"(?:[A-Z]?[a-z]*|[A-Z]+)(?:[/_=+-]+(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4}))*[0-9]{0,4}[/_=+-]*")
 _CAMEL = re.compile(r"[a-z]*(?:[A-Z][a-z]{2,})+[0-9]{0,4}")
 _NUMBER = re.compile(r"[0-9+/_=-]+")
+#: Letters in one case within an identifier: a word if it shortens well, else as random as any other string.
+_LETTERS = re.compile(r"[A-Z]{%d,}|[A-Z]?[a-z]{%d,}" % (LEAST, LEAST - 1))
 _JOINING = "+/_=-"
 #: UUIDs and digests that stand between joining characters: what is around them is tested without them.
 _PLACED = re.compile(r"(?<![A-Za-z0-9])(?:%s|(?ai:0x)?(?:%s))(?![A-Za-z0-9])" % (
@@ -54,13 +56,15 @@ def _encoding(path: str, pattern: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("scan", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+def _standard(text: str) -> bool:
+    """Digests, UUIDs and numbers."""
+    digest = _HEXADECIMAL.fullmatch(text)
+    return bool(digest and len(digest[1]) in _DIGESTS or _UUID.fullmatch(text) or _NUMBER.fullmatch(text))
+
+
 def known(text: str) -> bool:
     """Digests, UUIDs, numbers and identifiers: strings that look random, or shorten badly, without being secret."""
-    digest = _HEXADECIMAL.fullmatch(text)
-    return bool(
-        digest and len(digest[1]) in _DIGESTS
-        or _UUID.fullmatch(text) or _NUMBER.fullmatch(text) or _IDENTIFIER.fullmatch(text) or _CAMEL.fullmatch(text)
-    )
+    return bool(_standard(text) or _IDENTIFIER.fullmatch(text) or _CAMEL.fullmatch(text))
 
 
 def _lengths(text: str, encoding: tiktoken.Encoding) -> list[int]:
@@ -73,6 +77,13 @@ def _random(text: str, encoding: tiktoken.Encoding, ratio: float) -> bool:
     return len(text) < ratio * len(_lengths(text, encoding))
 
 
+def _words(text: str, encoding: tiktoken.Encoding, ratio: float) -> list[tuple[int, int]]:
+    """Letters in one case, of an identifier, that are random by themselves."""
+    if _standard(text):
+        return []
+    return [m.span() for m in _LETTERS.finditer(text) if len(m[0]) >= LEAST and _random(m[0], encoding, ratio)]
+
+
 def _densest(ends: list[int], low: int, high: int, ratio: float) -> tuple[int, int] | None:
     """Token positions of the stretch of at least ``LEAST`` characters with most tokens above its share, if one has any.
 
@@ -116,14 +127,16 @@ def _stretches(text: str, encoding: tiktoken.Encoding, ratio: float) -> list[tup
             continue
         if _random(text[wide_a:wide_b], encoding, ratio):
             found.append((wide_a, wide_b))
-        elif b - a >= LEAST and not known(text[a:b]) and _random(text[a:b], encoding, ratio):
+        elif b - a >= LEAST and (not known(text[a:b]) or _words(text[a:b], encoding, ratio)) and _random(text[a:b], encoding, ratio):
             found.append((a, b))
         elif not known(text[ends[best[0]] : ends[best[1]]]):
             # random with the joining characters at its ends, which are left out where enough is left
             found.append((a, b) if b - a >= LEAST else (ends[best[0]], ends[best[1]]))
     # a part between joining characters is cut into tokens by itself as well
     for m in re.finditer(r"[A-Za-z0-9]{%d,}" % LEAST, text):
-        if not known(m[0]) and _random(m[0], encoding, ratio):
+        if known(m[0]):
+            found += [(m.start() + a, m.start() + b) for a, b in _words(m[0], encoding, ratio)]
+        elif _random(m[0], encoding, ratio):
             found.append(m.span())
     return found
 
@@ -142,13 +155,14 @@ def _joined(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def random_spans(text: str, encoding: tiktoken.Encoding, ratio: float = RATIO) -> list[tuple[int, int]]:
     """Strings of at least ``LEAST`` characters that take more than one token for each ``ratio`` characters.
 
-    A run that is random as a whole is one span. Otherwise its parts between joining characters and its stretches of
+    Of an identifier only its random words are spans. A run that is random as a whole is one span. Otherwise its parts between joining characters and its stretches of
     tokens are tested by themselves, so a random string is found whatever readable text it is joined to.
     """
     found = []
     for m in _RUN.finditer(text):
         run = m[0]
         if known(run):
+            found += [(m.start() + a, m.start() + b) for a, b in _words(run, encoding, ratio)]
             continue
         if _random(run, encoding, ratio):
             found.append(m.span())

@@ -119,3 +119,16 @@ def test_long_runs_of_both_kinds():
     text = (filler * 230 + secret + "/") * 4
     found = scan.random_spans(text, ENCODING)
     assert len(found) == 4 and all(secret[4:-4] in text[a:b] and b - a <= 60 for a, b in found)
+
+
+@pytest.mark.parametrize("letters", [string.ascii_lowercase, string.ascii_uppercase])
+def test_random_letters_of_one_case(letters):
+    rng = random.Random(7)
+    tried = 0
+    for _ in range(50):
+        key = "".join(rng.choice(letters) for _ in range(24))
+        if scan._random(key, ENCODING, scan.RATIO):
+            tried += 1
+            for before in ("", "some/path/of/", "MAXIMUM_NUMBER="):
+                assert (4 + len(before), 28 + len(before), "token") in scan.spans(f"see {before}{key} here", ENCODING)
+    assert tried >= 40
