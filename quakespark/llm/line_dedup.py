@@ -132,6 +132,8 @@ def _with_text(wanted: DataFrame, docs: DataFrame) -> DataFrame:
 def near_links(distinct: DataFrame, docs: DataFrame) -> DataFrame:
     """(h1, h2, of_h1, of_h2): each line that is one edit from an earlier line, with the earliest such line.
 
+    The longer of the two has ``MIN_CHARS`` characters; shorter pairs are left out before the earliest is taken.
+
     A group of equal variants is bounded by the alphabet (the lines in it differ in one character) or by the
     length times the alphabet, whatever the number of rows; no pairs are formed in it.
     """
@@ -149,6 +151,7 @@ def near_links(distinct: DataFrame, docs: DataFrame) -> DataFrame:
         ))
         .select(
             F.xxhash64("segment", "short").alias("variant"), "at", F.struct(*_POS, "h1", "h2").alias("me"),
+            (F.length("line") >= MIN_CHARS).alias("long"),
         )
     )
     here, same = W.partitionBy("variant"), W.partitionBy("variant", "at")
@@ -157,8 +160,9 @@ def near_links(distinct: DataFrame, docs: DataFrame) -> DataFrame:
         .withColumn("any", F.min(F.when(at >= 0, F.col("me"))).over(here))
         .withColumn("twin", F.min("me").over(same))
     )
-    # deleted here: the undeleted line, or one with the same place deleted; not deleted: any that gives this one
-    partner = F.when(at < 0, F.col("any")).otherwise(F.least("whole", "twin"))
+    # deleted here: the undeleted line, or one with the same place deleted; not deleted: any that gives this one.
+    # the latter is longer than this line; the others are not, and no partners of a line below MIN_CHARS
+    partner = F.when(at < 0, F.col("any")).when(F.col("long"), F.least("whole", "twin"))
     found = (
         grouped.withColumn("of", partner)
         .filter(F.col("of") < F.col("me"))
@@ -169,10 +173,9 @@ def near_links(distinct: DataFrame, docs: DataFrame) -> DataFrame:
     mine = texts.withColumnRenamed("line", "mine")
     other = texts.select(F.col("h1").alias("of_h1"), F.col("h2").alias("of_h2"), F.col("line").alias("other"))
     edits = F.levenshtein("mine", "other", 1)
-    longer = F.greatest(F.length("mine"), F.length("other")) >= MIN_CHARS
     return (
         found.join(mine, ["h1", "h2"]).join(other, ["of_h1", "of_h2"])
-        .filter((edits == 1) & longer)
+        .filter(edits == 1)
         .select("h1", "h2", "of_h1", "of_h2")
     )
 

@@ -119,3 +119,10 @@ def substituted(s, i):
 def test_no_rows(docs):
     assert line_dedup.summary(docs([])).collect() == []
     assert line_dedup.without_repeats(docs([])).collect() == []
+
+
+def test_short_line_with_two_partners(docs):
+    """The earliest partner has 15 characters and does not count; a later one has 16."""
+    rows = [(0, "abcdefghijklmnX"), (1, "abcdefghijklmnoY"), (2, "abcdefghijklmno"), (3, "bcdefghijklmno")]
+    found = {(r.doc_id, r.line_no): r.kind for r in line_dedup.repeated_lines(docs(rows)).collect()}
+    assert found == plain(rows) == {(2, 0): "near"}
