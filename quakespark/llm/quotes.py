@@ -16,6 +16,8 @@ _MARKS = r"^((?:[ \t]*>)+)"
 _ANY_MARKS = "(?md)" + _MARKS
 #: A line that announces a quote, dropped when a quoted line follows.
 _ATTRIBUTION = r"(?i)^[ \t]*(?:on|am|le|el)\b.*\b(?:wrote|schrieb|écrit|a écrit|escribió)\b.*:[ \t\r]*$"
+#: What stands between paragraphs.
+_BLANK = r"\n[ \t\r]*\n"
 #: Characters of a passage that can be linked; shorter ones occur by chance.
 LEAST = 8
 _MESSAGE = ("conv_id", "turn", "key")
@@ -56,8 +58,9 @@ def _usable(passage: Column | str) -> Column:
 def quoted_passages(messages: DataFrame) -> DataFrame:
     """(conv_id, turn, key, level, passage, size): passages that a message quotes.
 
-    A passage is a run of quoted lines of one level; runs of several lines also give each line, as people cut what
-    they quote. A message counts once, however often its row repeats.
+    A passage is a run of quoted lines of one level; runs of several lines also give each paragraph, that is the lines
+    between blank quoted ones, and each line, as people cut what they quote. A message counts once, however often its
+    row repeats.
     """
     placed = messages.filter(F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
     quoting = placed.filter(F.coalesce("text", F.lit("")).rlike(_ANY_MARKS)).select(*_MESSAGE, "text").dropDuplicates(["key"])
@@ -69,16 +72,18 @@ def quoted_passages(messages: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("at", "body"))).alias("lines")
     )
     bodies = F.transform("lines", lambda x: x["body"])
-    passages = F.array_distinct(F.concat(F.array(F.array_join(bodies, " ")), bodies))
+    # the outer lambda binds the joined lines once
+    parts = lambda run: F.concat(F.array(run), F.split(run, _BLANK), F.split(run, "\n"))
+    passages = F.array_distinct(F.transform(F.array(F.array_join(bodies, "\n")), parts)[0])
     out = runs.select(*_MESSAGE, "level", F.explode(passages).alias("passage")).withColumn("passage", normalised(F.col("passage")))
     out = out.filter(_usable("passage")).withColumn("size", F.length("passage"))
     return out.withColumn("passage", F.xxhash64("passage", "size")).distinct()
 
 
 def _own_passages(messages: DataFrame) -> DataFrame:
-    """(conv_id, turn, key, passage): paragraphs and lines that a message says itself."""
+    """(conv_id, turn, key, passage): what a message says itself, as a whole, by paragraphs and by lines."""
     own = without_quotes("text")
-    parts = F.array_distinct(F.concat(F.split(own, r"\n[ \t\r]*\n"), F.split(own, "\n")))
+    parts = F.array_distinct(F.concat(F.array(own), F.split(own, _BLANK), F.split(own, "\n")))
     out = messages.select(*_MESSAGE, F.explode(parts).alias("passage")).withColumn("passage", normalised(F.col("passage")))
     return out.filter(_usable("passage")).withColumn("passage", F.xxhash64("passage", F.length("passage")))
 

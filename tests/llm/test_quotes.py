@@ -157,3 +157,28 @@ def test_long_message(spark):
     frame = spark.createDataFrame([(1, 0, "user", text, "x", 1, "k")], COLUMNS)
     row = quotes.conversations(frame).collect()[0]
     assert (row.text, row.n_quoted) == ("own words", 20_000)
+
+
+def test_rewrapped_paragraphs(spark):
+    one, two, three = "the first paragraph is long enough to wrap", "and the second one follows after it", "a third ends the message"
+    rows = [
+        (1, 0, "user", f"{one}\n\n{two}\n \n{three}"),
+        (1, 1, "assistant", "> the first paragraph is\n> long enough to wrap\n>\n> and the second one\n> follows after it\n\nyes"),
+        (1, 2, "assistant", ">the first paragraph is\n>long enough to wrap\n> \n>\n>and the second one\n>follows after it\n>\t\n>a third ends\n>the message\nno"),
+        (1, 3, "user", "> the second\n>\n> one nobody said this"),
+        (2, 0, "user", "short one\n\ntwo words\n\nby me"), (3, 0, "user", "> short\n> one\n>\n> two\n> words\n>\n> by\n> me"),
+    ]
+    frame = spark.createDataFrame([(*r, "x", 1, "k") for r in rows], COLUMNS)
+    by = {(r.conv_id, r.turn): r for r in quotes.conversations(frame).collect()}
+    for at in ((1, 1), (1, 2)):
+        assert (by[at].reply_conv, by[at].reply_turn, by[at].thread_conv, by[at].depth, by[at].n_links) == (1, 0, 1, 1, 1)
+    assert by[1, 3].reply_conv is None
+    assert (by[3, 0].reply_conv, by[3, 0].reply_turn) == (2, 0)
+
+
+def test_whole_messages_of_short_paragraphs(spark):
+    """No paragraph and no line is long enough; the whole message is."""
+    rows = [(1, 0, "user", "one two\n\nthree\n\nfour"), (1, 1, "user", "> one\n> two\n>\n> three\n>\n> four\nyes")]
+    frame = spark.createDataFrame([(*r, "x", 1, "k") for r in rows], COLUMNS)
+    by = {(r.conv_id, r.turn): r for r in quotes.conversations(frame).collect()}
+    assert (by[1, 1].reply_conv, by[1, 1].reply_turn) == (1, 0)
