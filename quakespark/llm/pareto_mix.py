@@ -86,10 +86,20 @@ def drawn(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, copie
     drawn without repeats at inclusion odds p / (1 - p), p = r - floor(r): documents are ranked by their random odds
     over these inclusion odds, and taken in that order while their middle lies within the rest, so a source ends at
     its target to within half a document. Null texts have size 0 and take nothing; rows that repeat are drawn each by
-    itself; a null source is a source. No rows give no rows.
+    itself; a null source is a source. No rows give no rows. All documents of a source have the same p, so the draw
+    within a source is one at equal odds.
     """
+    return _drawn(docs, ["doc_id", "text"], weights, share, copies)
+
+
+def _quoted(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+def _drawn(docs: DataFrame, columns: list[str], weights: tuple, share: float, copies: int) -> DataFrame:
+    """``drawn`` with a key over ``columns``."""
     sized = checkpointed(
-        docs.select("doc_id", "source", row_key("doc_id", "text").alias("key"), size_of("text").alias("size"), _uniform().alias("u"))
+        docs.select("doc_id", "source", row_key(*map(_quoted, columns)).alias("key"), size_of("text").alias("size"), _uniform().alias("u"))
     )
     wanted = targets(sized, weights, share, copies).withColumnRenamed("source", "_source")
     ratio = F.coalesce(F.try_divide("target", F.col("source_size").cast("double")), F.lit(0.0))
@@ -120,10 +130,10 @@ def drawn(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, copie
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, copies: int = COPIES) -> DataFrame:
     """``docs`` with every column, each row as often as the mix takes it; documents without words are left out."""
     key, n = unused(docs, "_key"), unused(docs, "_n")
-    counts = drawn(docs, weights, share, copies).filter((F.col("n_copies") > 0) & (F.col("size") > 0))
+    counts = _drawn(docs, docs.columns, weights, share, copies).filter((F.col("n_copies") > 0) & (F.col("size") > 0))
     counts = counts.groupBy("key").agg(F.sum("n_copies").cast("int").alias(n), F.count(F.lit(1)).alias("rows"))
     counts = counts.withColumnRenamed("key", key).withColumnRenamed("rows", unused(docs, "_rows"))
-    rows = docs.withColumn(key, row_key("doc_id", "text")).join(counts, key)
+    rows = docs.withColumn(key, row_key(*map(_quoted, docs.columns))).join(counts, key)
     once = F.col(unused(docs, "_rows")) == 1
     # rows that repeat in full stand for one another
     rows = rows.filter(once).unionByName(rows.filter(~once).dropDuplicates([key]))

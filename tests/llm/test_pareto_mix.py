@@ -116,3 +116,11 @@ def test_no_rows(docs):
 def test_native(docs):
     plan = pareto_mix.mix(docs(corpus(1, 20), "doc_id bigint, text string, source string"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_mix_keeps_rows_that_share_id_and_text(docs):
+    """Rows of one id and text in two sources, and with other columns that differ, are rows of their own."""
+    columns = "doc_id bigint, text string, source string, note string"
+    rows = [(1, "some words here", "a", "x"), (1, "some words here", "b", "x"), (1, "some words here", "b", "y"), (2, "two words", "a", None)]
+    out = pareto_mix.mix(docs(rows, columns), share=100.0).collect()
+    assert sorted(map(str, map(tuple, out))) == sorted(str(r) for r in rows for _ in range(pareto_mix.COPIES))
