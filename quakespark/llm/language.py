@@ -18,8 +18,8 @@ from quakespark.llm.common import fold
 TRAIN_DOCS = 300
 #: Rounds of expectation and maximisation.
 ROUNDS = 4
-#: Characters of the longest piece that is used.
-LONGEST = 12
+#: Characters of the longest piece of the vocabulary, the start mark included; longer ones would be left out.
+LONGEST = 16
 #: Count given to every piece of the vocabulary before it is seen.
 PRIOR = 0.02
 #: Words whose scores a task remembers, and words scored together.

@@ -157,3 +157,17 @@ def test_sliced_text_scores_as_a_whole(monkeypatch):
     whole = [model.logit(t) for t in texts[:60]]
     monkeypatch.setattr(toxicity, "_SLICE", 7)
     assert [model.logit(t) for t in texts[:60]] == pytest.approx(whole)
+
+
+def test_no_usable_piece_is_too_long():
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    all_pieces = (model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)))
+    usable = {p for p in all_pieces if p == p.lower() and language._LETTERS.fullmatch(p.removeprefix("▁") or "a")}
+    pieces = language._pieces(PIECES)
+    assert usable == set(pieces) and "▁international" in usable
+    p = np.random.default_rng(1).random((len(pieces) + 1, 1))
+    p /= p.sum(0)
+    got = language.Model(PIECES, ["x"], p).words(["international"])
+    assert got[0] == pytest.approx([plain_log_probability("international", p, pieces, 0)])
