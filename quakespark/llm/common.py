@@ -55,3 +55,21 @@ def from_text(docs: DataFrame, columns: str, compute: Callable[[], Callable[[lis
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in rest), *made], [f.name for f in (*rest, *new)])
 
     return docs.mapInArrow(run, StructType([*rest, *new]))
+
+
+#: Bits of a filter that keeps most rows without a partner out of a join's shuffle; its size does not grow with the input.
+_FILTER_BITS = 1 << 26
+
+
+def may_match(df: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of ``df`` whose ``keys`` may occur in ``wanted``, for an exact join behind it.
+
+    What is broadcast is a field of ``_FILTER_BITS`` bits, whatever the input: no row that has a partner is lost, a full
+    field only lets more of the others through.
+    """
+    at = F.xxhash64(*keys).bitwiseAND(F.lit(_FILTER_BITS - 1))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), at.bitwiseAND(F.lit(63)).cast("int"))
+    word, bits = unused(df, "_word"), unused(df, "_bits")
+    field = wanted.select(F.shiftright(at, 6).alias(word), bit.alias(bits)).groupBy(word).agg(F.bit_or(bits).alias(bits))
+    near = df.withColumn(word, F.shiftright(at, 6)).join(F.broadcast(field), word)
+    return near.filter(F.col(bits).bitwiseAND(bit) != 0).drop(word, bits)

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from quakespark.llm import (
     bpe,
+    divergence,
+    filter_audit,
     language,
     line_dedup,
     multi_index,
@@ -76,6 +78,14 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -86,7 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quotation_linking, op2_vector_approximation, op3_secret_scan, op4_toxicity, op5_language_id, op6_bpe,
-        op7_line_dedup, op8_multi_index_hashing, op9_pareto_mix, op10_simhash, pipeline,
+        op7_line_dedup, op8_multi_index_hashing, op9_pareto_mix, op10_simhash, op12_filter_audit, op13_source_divergence, pipeline,
     )
 }
 ORACLES: dict[str, str] = dict(sqltext.ORACLES)

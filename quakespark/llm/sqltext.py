@@ -144,5 +144,72 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
 FROM c
 """
 
+OP12 = r"""
+WITH words AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), marks AS (
+  SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS bad FROM labels GROUP BY doc_id
+), failed AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(bad, false) AS bad,
+    CASE WHEN len(w) < 100 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails
+  FROM words LEFT JOIN marks USING (doc_id)
+), kinds AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (bad) AS n_toxic FROM failed GROUP BY part, fails
+), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (
+  SELECT part, filter_order, step, substr(filter_order, step, 1) AS f, left(filter_order, step - 1) AS before
+  FROM (SELECT DISTINCT part FROM kinds), orders, (SELECT unnest(range(1, 6)) AS step)
+), counted AS (
+  SELECT part, filter_order, step, f,
+    sum(CASE WHEN translate(fails, before || f, '') = fails THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN contains(fails, f) AND translate(fails, before, '') = fails THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN contains(fails, f) AND translate(fails, before, '') <> fails THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN fails = f THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN contains(fails, f) AND translate(fails, before, '') = fails THEN n_good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN contains(fails, f) AND translate(fails, before, '') = fails THEN n_toxic ELSE 0 END) AS toxic_lost
+  FROM steps JOIN kinds USING (part) GROUP BY part, filter_order, step, f
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM counted
+"""
+
+OP13 = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS t FROM documents
+), tok AS (
+  SELECT id, lang, source, translate(unnest(regexp_extract_all(t, '[A-Za-z\x{80}-\x{10FFFF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d
+), kept AS (SELECT lang, term FROM tok GROUP BY lang, term HAVING count(DISTINCT id) >= 30
+), v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), groups AS (SELECT DISTINCT lang, source FROM d
+), c AS (SELECT lang, source, term, count(*) AS n FROM tok SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term
+), cl AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY lang, term
+), dense AS (
+  SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n FROM groups g JOIN kept k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), p AS (
+  SELECT lang, source, term, n, 1 + (CAST(1000000000 AS HUGEINT) * (n + 5)) // (sum(n) OVER (PARTITION BY lang, source) + 5 * v) AS p FROM dense JOIN v USING (lang)
+), q AS (
+  SELECT lang, term, 1 + (CAST(1000000000 AS HUGEINT) * (n + 5)) // (sum(n) OVER (PARTITION BY lang) + 5 * v) AS q FROM cl JOIN v USING (lang)
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source
+), pair AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0) AS value FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+), term AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (SELECT * FROM pair UNION ALL SELECT * FROM term)
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
 #: The other queries need a tokenizer's tables, trained numbers or XXH64, or follow links; they are tested against brute force.
-ORACLES = {"op1_quotation_linking": OP1, "op2_vector_approximation": OP2, "op7_line_dedup": OP7, "op9_pareto_mix": OP9}
+ORACLES = {
+    "op1_quotation_linking": OP1, "op2_vector_approximation": OP2, "op7_line_dedup": OP7, "op9_pareto_mix": OP9,
+    "op12_filter_audit": OP12, "op13_source_divergence": OP13,
+}
