@@ -40,11 +40,29 @@ def parse_iso(text) -> Column:
     return plain.try_cast("timestamp_ntz")
 
 
+def rounded_millis(seconds) -> Column:
+    """Whole milliseconds of seconds from 0 on, rounded as C and Python print ``%.3f``.
+
+    The exact binary value decides, and a value exactly half way goes to the even millisecond. Java's formats round the
+    shortest decimal instead: 35.1185 is stored slightly below itself, so it gives 35118 here and 35.119 there.
+    """
+    s = _c(seconds).cast("double")
+    low = F.floor(s * 1000.0)
+    odd = (low * 2 + 1).cast("double")  # the half way point is odd / 2000
+    half = odd / 2000.0
+    # where the nearest double to the half way point is the value itself, its exact distance: products of 26 bits are exact
+    wide = s * 134217729.0
+    high = wide - (wide - s)
+    beyond = (high * 2000.0 - odd) + (s - high) * 2000.0
+    up = (s > half) | ((s == half) & ((beyond > 0) | ((beyond == 0) & (low % 2 == 1))))
+    return low + F.when(up, F.lit(1)).otherwise(F.lit(0))
+
+
 def parts_to_iso(yr, mo, dy, hr, mi, sc) -> Column:
     """ISO text with milliseconds; rounding may print the second as 60.000."""
-    return F.format_string(
-        "%04d-%02d-%02dT%02d:%02d:%06.3fZ", _c(yr), _c(mo), _c(dy), _c(hr), _c(mi), _c(sc).cast("double")
-    )
+    millis = rounded_millis(sc)
+    whole, rest = F.floor(millis / 1000), millis % 1000
+    return F.format_string("%04d-%02d-%02dT%02d:%02d:%02d.%03dZ", _c(yr), _c(mo), _c(dy), _c(hr), _c(mi), whole, rest)
 
 
 def date_int(ts) -> Column:
