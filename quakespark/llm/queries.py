@@ -18,6 +18,7 @@ from quakespark.llm import (
     pareto_mix,
     quotes,
     secret_scan,
+    setsketch,
     simhash,
     sqltext,
     toxicity,
@@ -78,6 +79,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, at_least=(85, 100))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -96,7 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quotation_linking, op2_vector_approximation, op3_secret_scan, op4_toxicity, op5_language_id, op6_bpe,
-        op7_line_dedup, op8_multi_index_hashing, op9_pareto_mix, op10_simhash, op12_filter_audit, op13_source_divergence, pipeline,
+        op7_line_dedup, op8_multi_index_hashing, op9_pareto_mix, op10_simhash, op11_setsketch, op12_filter_audit, op13_source_divergence, pipeline,
     )
 }
 ORACLES: dict[str, str] = dict(sqltext.ORACLES)

@@ -144,6 +144,29 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
 FROM c
 """
 
+OP11 = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), g AS (
+  SELECT id, doc_id, list_sort(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END) AS grams FROM d
+), c AS (SELECT grams, min(id) AS node, min(doc_id) AS first_id, len(grams) AS n FROM g WHERE len(grams) > 0 GROUP BY grams
+), u AS (SELECT node, n, unnest(grams) AS gram FROM c
+), met AS (SELECT a.node AS a, b.node AS b, a.n AS na, b.n AS nb, count(*) AS k FROM u a JOIN u b ON a.gram = b.gram AND a.node <> b.node GROUP BY a.node, b.node, a.n, b.n
+), e AS (SELECT a, b FROM met WHERE 100 * k >= 85 * (na + nb - k)
+), reach AS (
+  SELECT node, node AS other FROM c
+  UNION
+  SELECT reach.node, e.b FROM reach JOIN e ON e.a = reach.other
+), names AS (SELECT reach.node, min(first_id) AS component_id FROM reach JOIN c ON c.node = reach.other GROUP BY reach.node
+), out AS (
+  SELECT doc_id, len(g.grams) AS n_shingles, CASE WHEN len(g.grams) = 0 THEN doc_id ELSE component_id END AS component_id
+  FROM g LEFT JOIN c ON c.grams = g.grams LEFT JOIN names ON names.node = c.node
+)
+SELECT doc_id, n_shingles, component_id, coalesce(doc_id = component_id, false) AS kept FROM out
+"""
+
 OP12 = r"""
 WITH words AS (
   SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
@@ -211,5 +234,5 @@ SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS IN
 #: The other queries need a tokenizer's tables, trained numbers or XXH64, or follow links; they are tested against brute force.
 ORACLES = {
     "op1_quotation_linking": OP1, "op2_vector_approximation": OP2, "op7_line_dedup": OP7, "op9_pareto_mix": OP9,
-    "op12_filter_audit": OP12, "op13_source_divergence": OP13,
+    "op11_setsketch": OP11, "op12_filter_audit": OP12, "op13_source_divergence": OP13,
 }
