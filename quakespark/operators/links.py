@@ -13,6 +13,10 @@ from quakespark.session import checkpointed
 # Fixed value: origin time correction that marks a pair without one.
 NO_OTC = -999.0
 MIN_DEPTH_KM = 0.01
+# Smallest length of a degree of latitude, and the latitude from which a circle may hold the pole.
+SHORTEST_DEGREE_KM, POLAR_DEG = 109.5, 89.0
+#: The column that tells clusters apart.
+KEY = "cluster_id"
 SHORT_DATE_LIMIT, SHORT_DATE_SHIFT = 10_000_000, 19_000_000
 
 
@@ -71,6 +75,37 @@ def near_stations(stations: DataFrame, events: DataFrame, max_dist: float) -> Da
     return placed.filter(geo.distance_km("_lat", "_lon", "lat", "lon", "stations") <= max_dist).drop("_lat", "_lon")
 
 
+def stations_around(centres: DataFrame, stations: DataFrame, max_dist: float, key: str = KEY) -> DataFrame:
+    """F6 for many centres: (key, station columns) of the stations within ``max_dist`` km of each centre (key, lat0, lon0).
+
+    Both tables are dealt to a grid whose bands are as high as the circles' radius and whose cells follow the band's
+    latitude; a centre probes the cells its circle can reach, so far stations never meet it.
+    """
+    height = min(max(max_dist, 1e-3) / SHORTEST_DEGREE_KM, 180.0)
+    band = lambda lat: F.floor((F.col(lat) + 90.0) / height)
+    edge = F.col("_b") * height - 90.0
+    lowest = F.when((edge <= 0) & (edge + height >= 0), 0.0).otherwise(F.least(F.abs(edge), F.abs(edge + height)))
+    cells = F.greatest(F.lit(1), F.floor(F.cos(F.radians(F.least(lowest, F.lit(90.0)))) * (360.0 / height)))
+    turn = lambda lon: (lon + 180.0) / 360.0 * F.col("_n")
+
+    placed = stations.withColumn("_b", band("lat")).withColumn("_n", cells)
+    placed = placed.withColumn("_x", F.pmod(F.floor(turn(F.col("lon"))), F.col("_n"))).drop("_n")
+    sine = F.sin(F.radians(F.lit(height))) / F.cos(F.radians(F.abs("lat0")))
+    polar = (F.abs("lat0") + height >= POLAR_DEG) | (F.lit(height) >= 90.0)
+    reach = F.when(polar, 180.0).otherwise(F.degrees(F.asin(F.least(F.lit(1.0), sine))) * 1.001)
+    first, last = F.floor(turn(F.col("lon0") - F.col("_reach"))), F.floor(turn(F.col("lon0") + F.col("_reach")))
+    every = F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1)
+    some = F.array_distinct(F.transform(F.sequence(first, last), lambda x: F.pmod(x, F.col("_n"))))
+    probes = (
+        centres.select(key, "lat0", "lon0").withColumn("_reach", reach)
+        .withColumn("_b", F.explode(F.sequence(band("lat0") - 1, band("lat0") + 1))).withColumn("_n", cells)
+        .withColumn("_x", F.explode(F.when(last - first + 1 >= F.col("_n"), every).otherwise(some)))
+        .select(key, F.col("lat0").alias("_lat"), F.col("lon0").alias("_lon"), "_b", "_x")
+    )
+    met = probes.join(placed, ["_b", "_x"])
+    return met.filter(geo.distance_km("_lat", "_lon", "lat", "lon", "stations") <= max_dist).select(key, *stations.columns)
+
+
 def corrected_lags(links: DataFrame) -> DataFrame:
     """drop pairs without an origin time correction, subtract it from the others."""
     return links.filter(F.abs(F.col("otc") - NO_OTC) >= 0.001).withColumn("dt", F.col("dt") - F.col("otc"))
@@ -202,18 +237,51 @@ def linked_stations(links: DataFrame, stations: DataFrame) -> DataFrame:
     return stations.join(links.select("sta").distinct(), "sta", "left_semi")
 
 
+def _chosen_links(cc: DataFrame | None, ct: DataFrame | None, params: LinkParams) -> DataFrame:
+    """The links of the wanted data types and phases in one table."""
+    if cc is not None and params.data != "ct":
+        cc = corrected_lags(cc)
+    return keep_phases(one_table(cc if params.data != "ct" else None, ct if params.data != "cc" else None), params.phases)
+
+
 def load_links(
     cc: DataFrame | None, ct: DataFrame | None, events: DataFrame, stations: DataFrame, params: LinkParams
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The whole loader: (links with sep_km, events with links, stations with links)."""
-    near = near_stations(stations, events, params.max_station_dist)
-    if cc is not None and params.data != "ct":
-        cc = corrected_lags(cc)
-    links = one_table(cc if params.data != "ct" else None, ct if params.data != "cc" else None)
-    links = known_stations(known_pairs(keep_phases(links, params.phases), events), near)
+    near = near_stations(stations, events, params.max_station_dist) if params.limit_catalog else stations
+    links = known_stations(known_pairs(_chosen_links(cc, ct, params), events), near)
     links = with_separation(links, events, params.km_per_deg)
     # written here and after the gap filter, because both results are read several times
     links = checkpointed(close_pairs(links, params.max_sep_cc, params.max_sep_ct))
     kept = geometry_filter(links, events, near, params)
     links = links if kept is links else checkpointed(kept)
     return links, linked_events(links, events), linked_stations(links, near)
+
+
+def cluster_links(links: DataFrame, members: DataFrame) -> DataFrame:
+    """Links with both events in the same cluster of ``members`` (id, cluster_id; NULL is no cluster)."""
+    def side(n: int) -> DataFrame:
+        return members.filter(F.col(KEY).isNotNull()).select(F.col("id").alias(f"id{n}"), F.col(KEY).alias(f"_c{n}"))
+
+    joined = links.join(side(1), "id1").join(side(2), "id2").filter(F.col("_c1") == F.col("_c2"))
+    return joined.withColumn(KEY, F.col("_c1")).drop("_c1", "_c2")
+
+
+def load_clusters(
+    cc: DataFrame | None, ct: DataFrame | None, events: DataFrame, stations: DataFrame, members: DataFrame, params: LinkParams
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The loader for every cluster by itself: (links, events with links, stations with links), all with ``cluster_id``.
+
+    ``members`` (id, cluster_id) says where an event belongs. A cluster keeps the links between its own events, at the
+    stations within the limit of its own mean epicentre; separations, gaps and what is linked follow from these alone.
+    All clusters go together, and a station may serve several.
+    """
+    inside = members.filter(F.col(KEY).isNotNull()).select("id", KEY)
+    placed = checkpointed(events.join(inside, "id"))
+    centres = placed.groupBy(KEY).agg(F.avg("lat").alias("lat0"), F.avg("lon").alias("lon0"))
+    near = checkpointed(stations_around(centres, stations, params.max_station_dist))
+    links = cluster_links(_chosen_links(cc, ct, params), inside).join(near.select(KEY, "sta"), [KEY, "sta"], "left_semi")
+    links = checkpointed(close_pairs(with_separation(links, events, params.km_per_deg), params.max_sep_cc, params.max_sep_ct))
+    kept = geometry_filter(links, events, stations, params)     # a pair belongs to one cluster
+    links = links if kept is links else checkpointed(kept)
+    return links, linked_events(links, placed), near.join(links.select(KEY, "sta").distinct(), [KEY, "sta"], "left_semi")

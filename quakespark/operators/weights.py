@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import asdict
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -49,20 +51,26 @@ def residuals(links: DataFrame, sources: DataFrame | None = None) -> DataFrame:
     return links.withColumn("res", F.col("dt") - calc).drop("_t1", "_t2")
 
 
-def prior_weight(p: IterationParams) -> Column:
-    """R2: type weight times quality."""
-    by_type = F.element_at(F.array(*[F.lit(float(w)) for w in (p.w_ccp, p.w_ccs, p.w_ctp, p.w_cts)]), F.col("idx"))
-    return by_type * F.col("qual")
+def as_struct(p: IterationParams) -> Column:
+    """A row of the schedule as a column; limits that are not active are NULL."""
+    return F.struct(*[F.lit(v).cast("double").alias(n) for n, v in asdict(p).items() if n != "last"])
+
 
+def prior_weight(p: IterationParams | Column) -> Column:
+    """R2: type weight times quality; ``p`` is a row of the schedule, or a column of such rows."""
+    p = as_struct(p) if isinstance(p, IterationParams) else p
+    return F.element_at(F.array(*[p[n] for n in ("w_ccp", "w_ccs", "w_ctp", "w_cts")]), F.col("idx")) * F.col("qual")
 
-def distance_factor(offset_m: Column, p: IterationParams) -> Column:
+
+def distance_factor(offset_m: Column, p: IterationParams | Column) -> Column:
     """Weight by separation, fifth powers for correlation and cubes for catalog links."""
-    def factor(limit_km: float | None, power: float) -> Column:
-        if limit_km is None:
-            return F.lit(1.0)
-        return F.pow(1.0 - F.pow(offset_m / (limit_km * 1000.0), F.lit(power)), F.lit(power))
+    p = as_struct(p) if isinstance(p, IterationParams) else p
+
+    def factor(limit_km: Column, power: float) -> Column:
+        near = F.pow(1.0 - F.pow(offset_m / (limit_km * 1000.0), F.lit(power)), F.lit(power))
+        return F.when(limit_km.isNull(), 1.0).otherwise(near)
 
-    return F.when(is_cc(), factor(p.dist_cc, 5.0)).otherwise(factor(p.dist_ct, 3.0))
+    return F.when(is_cc(), factor(p["dist_cc"], 5.0)).otherwise(factor(p["dist_ct"], 3.0))
 
 
 def residual_factor(cutoff: Column) -> Column:
@@ -118,35 +126,30 @@ def needs_spread(p: IterationParams) -> bool:
     return any(c is not None and c >= 1 for c in (p.res_cc, p.res_ct))
 
 
-def weights(links: DataFrame, p: IterationParams, keys: list[str] | None = None) -> DataFrame:
-    """Column ``wt``. Needs idx, qual, res and offs_m."""
+def weights(links: DataFrame, p: IterationParams | Column, keys: list[str] | None = None, spread: bool | None = None) -> DataFrame:
+    """Column ``wt``. Needs idx, qual, res and offs_m.
+
+    ``p`` is a row of the schedule, or a column that holds the row valid for each link; ``spread`` then says whether
+    any cutoff among them is a multiple of the MAD.
+    """
     keys = keys or []
-    if needs_spread(p):
+    if isinstance(p, IterationParams):
+        p, spread = as_struct(p), needs_spread(p)
+    if spread:
         links = checkpointed(links)     # read for the medians, the deviations and the weights
-    wt = links.withColumn("wt", prior_weight(p))
-    if not p.reweights:
-        return wt
-    if p.dist_cc is not None or p.dist_ct is not None:
-        wt = wt.withColumn("wt", F.col("wt") * distance_factor(F.col("offs_m"), p))
-    if p.res_cc is None and p.res_ct is None:
-        return wt
-    if needs_spread(p):
-        spread = spreads(links, keys).select(*keys, F.col("cc").alias("_cc"), "mad")
+    wt = links.withColumn("wt", prior_weight(p) * distance_factor(F.col("offs_m"), p))
+    if spread:
+        by_type = spreads(links, keys).select(*keys, F.col("cc").alias("_cc"), "mad")
         for k in keys:
-            spread = spread.withColumnRenamed(k, f"_{k}")
+            by_type = by_type.withColumnRenamed(k, f"_{k}")
         condition = is_cc().eqNullSafe(F.col("_cc"))
         for k in keys:
             condition = condition & (F.col(k) == F.col(f"_{k}"))
-        wt = wt.join(spread, condition).drop("_cc", *[f"_{k}" for k in keys])
+        wt = wt.join(by_type, condition).drop("_cc", *[f"_{k}" for k in keys])
     else:
         wt = wt.withColumn("mad", F.lit(None).cast("double"))
-
-    def cutoff(limit: float | None) -> Column:
-        if limit is None or limit <= 0:
-            return F.lit(None).cast("double")
-        return F.lit(float(limit)) * F.col("mad") if limit >= 1 else F.lit(float(limit))
-
-    cut = F.when(is_cc(), cutoff(p.res_cc)).otherwise(cutoff(p.res_ct))
+    limit = F.when(is_cc(), p["res_cc"]).otherwise(p["res_ct"])
+    cut = F.when(limit >= 1, limit * F.col("mad")).when(limit > 0, limit)
     apply = (F.col("wt") > NEGLIGIBLE_WEIGHT) & cut.isNotNull()
     return wt.withColumn("wt", F.when(apply, F.col("wt") * residual_factor(cut)).otherwise(F.col("wt"))).drop("mad")
 

@@ -33,6 +33,7 @@ class LinkParams:
     max_sep_ct: float | None = None
     straight_rays: bool = False
     km_per_deg: float = 111.0
+    limit_catalog: bool = True  # before clusters are known, keep to stations near the mean of all epicentres, as stored runs did
 
 
 @dataclass(frozen=True)
@@ -61,15 +62,12 @@ class RelocationParams:
 
     schedule: tuple[IterationParams, ...] = field(default_factory=lambda: (IterationParams(last=1),))
     start: str = "catalog"            # 'catalog' or 'centroid'
-    method: str = "lsqr"              # 'lsqr' or 'svd'
     min_cc: int = 0
     min_ct: int = 0
     remove_air_quakes: bool = True
     cluster: int | None = None
     min_weight: float = 1e-5
     mode: str = "layered"             # 'layered', 'straight' or 'station'
-    task_events: int = 2000           # larger clusters are solved by distributed steps
-    task_links: int = 500_000
 
     @property
     def n_iterations(self) -> int:

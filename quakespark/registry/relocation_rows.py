@@ -437,7 +437,8 @@ def r14(t):
     An event is solved where no component of the scaled gradient is above 1e-5 of the data's length.
     """
     links = checkpointed(_fixed(_used(t)).withColumn("cluster_id", F.lit(1)))
-    found = checkpointed(solve.solve_distributed(links, "cluster_id", c.STEP.damp))
+    places = t("v_event").select(F.lit(1).alias("cluster_id"), "id", F.col("lon").alias("x"), F.col("lat").alias("y"), (F.col("depth_km") / 100).alias("z"))
+    found = checkpointed(solve.solve(links, "cluster_id", c.STEP.damp, places))
     values = found.select("id", F.posexplode(F.array(*[-F.col(n) for n in solve.SOLUTION[:4]])).alias("param", "x"))
     entries = checkpointed(solve.design_entries(links, []))
     link = ["id1", "id2", "sta", "idx"]
@@ -455,29 +456,6 @@ def r14(t):
     return held.join(found.select("id", errors.alias("has_errors")), "id")
 
 
-def _solver_input(t):
-    rows = _used(t).withColumn("cluster_id", F.lit(1).cast("bigint"))
-    return rows.withColumn("fix1", F.lit(0)).withColumn("fix2", F.lit(0))
-
-
-def _solved(t, method):
-    links = _solver_input(t)
-    large = checkpointed(solve.large_clusters(links, "cluster_id"))
-    return solve.solve(links, "cluster_id", c.STEP.damp, method, None if large.isEmpty() else large)
-
-
-@query("R14_lsqr")
-def r14(t):
-    """Damped least squares of all links: one task while they are few, joins and sums beyond."""
-    return _solved(t, "lsqr")
-
-
-@query("R16_svd")
-def r16(t):
-    """Dense singular value decomposition; systems beyond its limits are solved like R14."""
-    return _solved(t, "svd")
-
-
 RUN = RelocationParams(schedule=(SCHEDULE[0], replace(SCHEDULE[1], last=3)), min_cc=0, min_ct=8)
 
 
