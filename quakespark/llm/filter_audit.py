@@ -2,66 +2,66 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable
 from itertools import combinations, permutations
 from math import factorial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quakespark.llm.common import from_text
 from quakespark.session import checkpointed, scratch_path
 
-_SPACE = r"[\x20\x09-\x0D]+"
-#: Filter that needs the other documents: the same text as a smaller id.
-DUPLICATE = "E"
+#: The filters that look at one text, and the one that needs the other documents: the same text as a smaller id.
+OF_TEXT, DUPLICATE = "ABCD", "E"
 
+_CAPITALS = bytes(range(ord("A"), ord("Z") + 1))
+_SYMBOLS = b"#$%&*|"
 
-def text_filters(text: str = "text") -> dict[str, Column]:
-    """Filters that look at one text (null counts as empty): letter -> does the text fail?"""
-    whole = F.coalesce(F.col(text), F.lit(""))
-    # bound once: expressions below would split the text again for each use
-    words = F.filter(F.split(whole, _SPACE), lambda w: w != "")
-    counts = F.transform(F.array(words), lambda w: F.struct(F.size(w).alias("n"), F.size(F.array_distinct(w)).alias("kinds")))[0]
-    capitals = F.length(F.regexp_replace(whole, "[^A-Z]+", ""))
-    return {
-        "A": counts["n"] < 100,
-        "B": 100 * counts["kinds"] < 80 * counts["n"],
-        "C": 100 * capitals > 10 * F.length(whole),
-        "D": whole.rlike("[#$%&*|]"),
-    }
+
+def failures(text: str) -> str:
+    """Letters of the filters that a whole text fails; words are the runs without ASCII white space."""
+    raw = text.encode()
+    words = raw.split()
+    fails = (
+        len(words) < 100,
+        100 * len(set(words)) < 80 * len(words),
+        100 * (len(raw) - len(raw.translate(None, _CAPITALS))) > 10 * len(text),
+        len(raw.translate(None, _SYMBOLS)) < len(raw),
+    )
+    return "".join(letter for letter, failed in zip(OF_TEXT, fails, strict=True) if failed)
 
 
-def failing_ids(docs: DataFrame, labels: DataFrame, filters: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
+def failing_ids(docs: DataFrame, labels: DataFrame, fails: Callable[[str], str] = failures) -> tuple[DataFrame, DataFrame]:
     """(members, failing): (rid, part, good, toxic) of every row of ``docs``, and (filter, rid), a table per filter.
 
     ``rid`` numbers the rows, so rows that share a doc_id, or have none, count as documents of their own.
     """
-    if DUPLICATE in filters:
-        raise ValueError(f"{DUPLICATE} is the filter of repeated texts")
-    letters = [F.when(fails, F.lit(letter)) for letter, fails in filters.items()]
-    once = checkpointed(
-        docs.select(
-            F.monotonically_increasing_id().alias("rid"), "doc_id", F.coalesce("lang", F.lit("")).alias("part"),
-            F.array_compact(F.array(*letters)).alias("fails"),
-            F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("digest"),
-        )
-    )
+    def start() -> Callable[[list], list[tuple]]:
+        return lambda texts: [(fails(t), hashlib.sha256(t.encode()).digest()) for t in texts]
+
+    empty = F.lit("")
+    read = docs.select("doc_id", F.coalesce("lang", empty).alias("part"), F.coalesce("text", empty).alias("text"))
+    once = checkpointed(from_text(read, "fails string, digest binary", start).withColumn("rid", F.monotonically_increasing_id()))
     marks = labels.groupBy("doc_id").agg(
         F.coalesce(F.bool_or(F.col("quality") == 1), F.lit(False)).alias("good"),
         F.coalesce(F.bool_or(F.col("toxic") == 1), F.lit(False)).alias("toxic"),
     )
     no = F.lit(False)
-    members = once.select("rid", "doc_id", "part").join(marks.filter("good OR toxic"), "doc_id", "left")
+    members = once.select("rid", "doc_id", "part").join(marks.filter("good OR toxic").hint("merge"), "doc_id", "left")
     members = checkpointed(members.select("rid", "part", F.coalesce("good", no).alias("good"), F.coalesce("toxic", no).alias("toxic")))
 
     copied = once.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    repeated = once.join(copied, "digest").filter(F.col("doc_id") > F.col("first"))
-    ids = once.select(F.explode("fails").alias("filter"), "rid").unionByName(
+    repeated = once.join(copied.hint("merge"), "digest").filter(F.col("doc_id") > F.col("first"))
+    ids = once.filter("fails <> ''").select(F.explode(F.split("fails", "")).alias("filter"), "rid").unionByName(
         repeated.select(F.lit(DUPLICATE).alias("filter"), "rid")
     )
     spark = docs.sparkSession
     path = scratch_path(spark, "failing")
     ids.write.partitionBy("filter").parquet(path)
-    return members, spark.read.schema("rid bigint, filter string").parquet(path).select("filter", "rid")
+    # the ids grow with the documents: no side of a join with them is for broadcasting, however small it looks
+    return members, spark.read.schema("rid bigint, filter string").parquet(path).select("filter", "rid").hint("merge")
 
 
 def _prefix_steps(letters: str, size: int) -> Column:
@@ -78,7 +78,7 @@ def prefix_counts(members: DataFrame, failing: DataFrame, letters: str) -> tuple
     (prefix, filter, part, removed, redundant, good_lost, toxic_lost); counts of zero have no row.
     """
     count = F.count(F.lit(1))
-    met = checkpointed(failing.join(members.select("rid", "part"), "rid"))
+    met = checkpointed(members.select("rid", "part").join(failing, "rid"))
     left = members.withColumn("prefix", F.lit(""))
     kept, removed, redundant = [], [], []
     for size in range(len(letters) + 1):
@@ -95,7 +95,7 @@ def prefix_counts(members: DataFrame, failing: DataFrame, letters: str) -> tuple
         steps = F.filter(_prefix_steps(letters, size), lambda s: s["filter"] == F.col("own"))
         again = met.withColumnRenamed("filter", "own").select("rid", "part", F.explode(steps).alias("step")).select("rid", "part", "step.*")
         redundant.append(
-            again.join(left.select("prefix", "rid"), ["prefix", "rid"], "left_anti").groupBy("prefix", "filter", "part").agg(
+            again.join(left.select("prefix", "rid").hint("merge"), ["prefix", "rid"], "left_anti").groupBy("prefix", "filter", "part").agg(
                 count.alias("redundant")
             )
         )
@@ -116,18 +116,20 @@ def prefix_counts(members: DataFrame, failing: DataFrame, letters: str) -> tuple
     return union(kept), checkpointed(found.select("prefix", "filter", "part", *counts))
 
 
-def audit(docs: DataFrame, labels: DataFrame, filters: dict[str, Column] | None = None) -> DataFrame:
+def audit(docs: DataFrame, labels: DataFrame, fails: Callable[[str], str] = failures, of_text: str = OF_TEXT) -> DataFrame:
     """A row per part, order of the filters and step: what the filter of that step does to the part's documents.
 
     ``docs`` (doc_id, text, lang; other columns are ignored), ``labels`` (doc_id, quality, toxic; a document counts as
-    good or toxic if any of its labels says so). Columns: part (a lang; null and empty are one part, the empty
+    good or toxic if any of its labels says so). ``fails`` names the filters, of the letters ``of_text``, that a text
+    fails; the one of repeated texts is added. Columns: part (a lang; null and empty are one part, the empty
     string), filter_order, step (from 1), kept, removed, redundant, good_lost, toxic_lost, unique_fails, shapley.
     Every row of ``docs`` counts, repeated ones too. Null texts are empty texts. Rows without doc_id fail no filter
     of repeated texts and have no labels. Without documents there are no rows, without labels the losses are zero.
     """
-    filters = text_filters() if filters is None else filters
-    letters = "".join(sorted([*filters, DUPLICATE]))
-    members, failing = failing_ids(docs, labels, filters)
+    if DUPLICATE in of_text:
+        raise ValueError(f"{DUPLICATE} is the filter of repeated texts")
+    letters = "".join(sorted([*of_text, DUPLICATE]))
+    members, failing = failing_ids(docs, labels, fails)
     kept, found = prefix_counts(members, failing, letters)
 
     n = len(letters)
