@@ -10,6 +10,7 @@ from quakespark.params import LinkParams
 from quakespark.registry import common as c
 from quakespark.registry import sqltext as q
 from quakespark.registry.core import query, rounded
+from quakespark.session import checkpointed
 
 _DET = ("v_event", "v_station", "v_pick", "v_detection")
 
@@ -323,6 +324,65 @@ def w5(t):
     return cluster.cluster_events(lnk.one_table(None, c.catalog_links(t)), t("v_event"), 0, 31)
 
 
+_FAR, _NORTH, _EAST = 1_000_000, 6.0, 30.0
+
+_TWO = f"""
+two_event AS (SELECT id, lat, lon, depth_km FROM v_event UNION ALL SELECT id + {_FAR}, lat + {_NORTH}e0, lon + {_EAST}e0, depth_km FROM v_event),
+two_station AS (SELECT sta, lat, lon FROM v_station UNION ALL SELECT 'T' || sta, lat + {_NORTH}e0, lon + {_EAST}e0 FROM v_station),
+two_link AS (SELECT id1, id2, sta, dt, qual, idx FROM link UNION ALL SELECT id1 + {_FAR}, id2 + {_FAR}, 'T' || sta, dt, qual, idx FROM link),
+{_COMP.replace("FROM ct GROUP", "FROM two_link WHERE idx >= 3 GROUP").strip()},
+member AS (SELECT c.id, n.cluster_id FROM comp c JOIN numbered n ON n.component = c.component),
+middle AS (SELECT m.cluster_id, avg(e.lat) AS lat, avg(e.lon) AS lon FROM member m JOIN two_event e ON e.id = m.id GROUP BY m.cluster_id),
+around AS (SELECT c.cluster_id, s.* FROM middle c JOIN two_station s ON {q.dist('c.lat', 'c.lon', 's.lat', 's.lon', 'stations')} <= 9e1),
+own AS (SELECT m.cluster_id, least(l.id1, l.id2) AS id1, greatest(l.id1, l.id2) AS id2, l.sta, l.idx, CASE WHEN l.id1 > l.id2 THEN -l.dt ELSE l.dt END AS dt, l.qual
+        FROM two_link l JOIN member m ON m.id = l.id1 JOIN member n ON n.id = l.id2 AND n.cluster_id = m.cluster_id
+        JOIN two_event e ON e.id = l.id1 JOIN two_event f ON f.id = l.id2 JOIN around a ON a.cluster_id = m.cluster_id AND a.sta = l.sta
+        WHERE {q.sep('e', 'f', 'loader')} <= CASE WHEN idx <= 2 THEN 8e0 ELSE 4.5e0 END),
+seen AS MATERIALIZED (SELECT l.*, {q.dist('e.lat', 'e.lon', 's.lat', 's.lon', 'rays')} AS sd, {q.azimuth('e.lat', 'e.lon', 's.lat', 's.lon')} AS az
+         FROM own l JOIN two_event e ON e.id = l.id1 JOIN two_station s ON s.sta = l.sta),
+ranged AS (SELECT * FROM seen WHERE NOT qual > 0 OR sd BETWEEN 5e0 AND 8e1),
+wide AS (SELECT id1, id2 FROM (
+           SELECT id1, id2, az, lead(az) OVER (PARTITION BY id1, id2 ORDER BY az) AS nxt, min(az) OVER (PARTITION BY id1, id2) AS f
+           FROM (SELECT DISTINCT id1, id2, CAST(round(az) AS INT) AS az FROM ranged WHERE qual > 0)) GROUP BY id1, id2 HAVING max(coalesce(nxt, f + 360) - az) > 250),
+own_loaded AS MATERIALIZED (SELECT r.* FROM ranged r LEFT JOIN wide w ON w.id1 = r.id1 AND w.id2 = r.id2 WHERE NOT r.qual > 0 OR w.id1 IS NULL)"""
+
+
+def _two_regions(t):
+    """The test catalog and a copy of it far away: events, stations, correlation and catalog links."""
+    def also(df, columns, ids, names=(), places=False):
+        far = df.select(*columns).withColumns({i: F.col(i) + _FAR for i in ids}).withColumns({n: F.concat(F.lit("T"), n) for n in names})
+        if places:
+            far = far.withColumns({"lat": F.col("lat") + _NORTH, "lon": F.col("lon") + _EAST})
+        return df.select(*columns).unionByName(far)
+
+    pair = ["id1", "id2", "sta", "phase"]
+    return (
+        also(t("v_event"), ["id", "lat", "lon", "depth_km"], ["id"], places=True),
+        also(t("v_station"), ["sta", "lat", "lon", "elev_km"], [], ["sta"], places=True),
+        also(c.correlation_links(t), [*pair, "dt", "qual", "otc"], ["id1", "id2"], ["sta"]),
+        also(checkpointed(c.catalog_links(t)), [*pair, "t1", "t2", "qual"], ["id1", "id2"], ["sta"]),
+    )
+
+
+@query("J6_cluster_loading", q.chain("""
+    SELECT 'link' AS kind, CAST(cluster_id AS BIGINT) AS cluster_id, id1, id2, sta, idx, round(dt, 6) AS dt FROM own_loaded
+    UNION ALL SELECT 'event', CAST(cluster_id AS BIGINT), id, NULL, NULL, NULL, NULL FROM member
+      WHERE id IN (SELECT id1 FROM own_loaded) OR id IN (SELECT id2 FROM own_loaded)
+    UNION ALL SELECT 'station', CAST(cluster_id AS BIGINT), NULL, NULL, sta, NULL, NULL FROM (SELECT DISTINCT cluster_id, sta FROM own_loaded)""",
+    _TWO).replace("WITH ", "WITH RECURSIVE ", 1))
+def j6_clusters(t):
+    """Two regions far apart, clusters of their links, and what the loader keeps for each cluster."""
+    events, stations, cc, ct = _two_regions(t)
+    members = checkpointed(cluster.cluster_events(lnk.one_table(None, ct), events, 0, 31))
+    links, used, near = lnk.load_clusters(cc, ct, events, stations, members, c.LOADER)
+    none = lambda kind: F.lit(None).cast(kind)
+    rows = links.select(F.lit("link").alias("kind"), "cluster_id", "id1", "id2", "sta", "idx", F.round("dt", 6).alias("dt"))
+    rows = rows.unionByName(used.select(F.lit("event").alias("kind"), "cluster_id", F.col("id").alias("id1"), none("bigint").alias("id2"),
+                                        none("string").alias("sta"), none("int").alias("idx"), none("double").alias("dt")))
+    return rows.unionByName(near.select(F.lit("station").alias("kind"), "cluster_id", none("bigint").alias("id1"), none("bigint").alias("id2"),
+                                        "sta", none("int").alias("idx"), none("double").alias("dt")))
+
+
 @query("A6_centroids", q.views("""
     SELECT cluster_id, round(avg(lat), 6) AS lat0, round(avg(lon), 6) AS lon0, round(avg(depth_km), 6) AS depth_km0
     FROM v_reloc_a GROUP BY cluster_id""", "v_reloc_a"))
