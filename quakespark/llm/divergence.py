@@ -31,10 +31,11 @@ TOP = 50
 SCALE, PRIOR = 1_000_000_000, 5
 
 #: (document, chunk) entries of a block at most, but for the last document's own.
-_BLOCK = 4_000_000
+_BLOCK = 1_500_000
 _ROWS = 50_000
-#: Cells of a table of terms by sources that a task holds at once.
-_CELLS = 1 << 21
+#: Cells of a table of terms by sources that a task holds at once; where a language has many sources a tile has as
+#: many terms as sources, if the second number allows, so that it gives fewer sums than it has cells.
+_CELLS, _MOST_CELLS = 1 << 16, 1 << 21
 
 _COUNTED = "chunk string, lang string, df bigint, docs array<bigint>, sources array<string>, counts array<bigint>"
 
@@ -180,7 +181,8 @@ def _differences(key: tuple, cells: pd.DataFrame, groups: pd.DataFrame) -> pd.Da
 def _pairs(shares: DataFrame, groups: DataFrame, cells: int) -> DataFrame:
     """(lang, source, item, value) for all pairs of a language's sources; a tile holds some terms and all sources."""
     langs = groups.groupBy("lang").agg(F.count(F.lit(1)).alias("n_sources"), F.max("n_terms").alias("n_terms"))
-    langs = langs.select("lang", F.greatest(F.lit(1), F.ceil(F.col("n_terms") * F.col("n_sources") / cells)).cast("int").alias("n_tiles"))
+    held = F.greatest(F.lit(cells), F.least(F.col("n_sources") * F.col("n_sources"), F.lit(_MOST_CELLS)))
+    langs = langs.select("lang", F.greatest(F.lit(1), F.ceil(F.col("n_terms") * F.col("n_sources") / held)).cast("int").alias("n_tiles"))
     left = shares.join(langs, "lang").select("lang", F.pmod(F.xxhash64("term"), "n_tiles").cast("int").alias("tile"), "source", "term", "p")
     zero = F.lit(0)
     rest = F.coalesce(F.when(F.col("n_terms") > 0, _share(zero, F.col("total"), F.col("n_terms"))), zero.cast("bigint"))

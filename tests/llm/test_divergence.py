@@ -68,7 +68,8 @@ def test_against_brute_force(table, least):
 
 def test_small_blocks_and_tiles_change_nothing(table, monkeypatch):
     docs = some_docs(5)
-    monkeypatch.setattr(divergence, "_BLOCK", 20)  # of this process; blocks of the workers are tested below
+    monkeypatch.setattr(divergence, "_BLOCK", 20)
+    monkeypatch.setattr(divergence, "_MOST_CELLS", 7)
     assert found(divergence.audit(table(docs), least=4, top=3, cells=7)) == brute(docs, 4, 3)
 
 
