@@ -61,19 +61,19 @@ def s3(t):
 
 
 def _phases(t):
+    """Origin times are put on whole hundredths first, which the file holds exactly."""
     path = _path(t, "phases")
-    sink.write_phases(t("v_event"), t("v_pick"), path)
+    hundredths = F.floor(timefn.epoch_micros("origin_time") / 10_000) * 10_000
+    sink.write_phases(t("v_event").withColumn("origin_time", timefn.from_micros(hundredths.cast("bigint"))), t("v_pick"), path)
     return text.read_phase_file(t.spark, path)
 
 
 @query("S4_K2_phase_events", q.views("""
-    SELECT id, round(lat, 4) AS lat, round(lon, 4) AS lon, depth_km, round(mag, 2) AS mag,
-           CAST(year(origin_time) AS INT) AS yr, CAST(minute(origin_time) AS INT) AS mi FROM v_event""", "v_event"))
+    SELECT id, round(lat, 4) AS lat, round(lon, 4) AS lon, depth_km, round(mag, 2) AS mag, 0e0 AS eh, 0e0 AS ez, 0e0 AS rms,
+           date_trunc('minute', origin_time) + to_microseconds(microsecond(origin_time) // 10000 * 10000) AS origin_time FROM v_event""", "v_event"))
 def s4(t):
     events, _ = _phases(t)
-    out = events.select(
-        "id", "lat", "lon", "depth_km", "mag", F.year("origin_time").alias("yr"), F.minute("origin_time").alias("mi"))
-    return rounded(out, lat=4, lon=4, mag=2)
+    return rounded(events.drop("ord"), lat=4, lon=4, mag=2)
 
 
 @query("S4_K2_phase_picks", q.views("SELECT id, sta, phase, tt, weight FROM v_pick", "v_event", "v_station", "v_pick"))
@@ -272,13 +272,13 @@ def s13(t):
 
 
 @query("S13_station_list", """
-    SELECT CAST(s_suppkey AS STRING) AS sta, 'N' || CAST(s_nationkey AS STRING) AS network, s_acctbal AS lat FROM supplier""")
+    SELECT CAST(s_suppkey AS STRING) AS sta, 'N' || CAST(s_nationkey AS STRING) AS network, s_acctbal AS lat, s_nationkey / 4e0 - 1.2e2 AS lon FROM supplier""")
 def s13_stations(t):
     path = _path(t, "station-list")
     t("supplier").select(
         F.concat(F.lit("N"), F.col("s_nationkey").cast("string")).alias("Network"), F.col("s_suppkey").alias("Station"),
-        F.col("s_acctbal").alias("Latitude"), F.lit(0.0).alias("Longitude")).write.csv(path, header=True, sep="|")
-    return tables.read_station_list(t.spark, path).select("sta", "network", "lat")
+        F.col("s_acctbal").alias("Latitude"), (F.col("s_nationkey") / 4 - 120).alias("Longitude")).write.csv(path, header=True, sep="|")
+    return tables.read_station_list(t.spark, path).drop("src")
 
 
 @query("S14_K8_id_mapping", q.views("SELECT CAST(id AS STRING) AS original_id, id + 100000 AS synthetic_id FROM v_event", "v_event"))
@@ -318,18 +318,21 @@ def s15_models(t):
 
 
 @query("S16_K7_station_results", q.views("""
-    SELECT sta, round(lat, 4) AS lat, round(lon, 4) AS lon, CAST(count(*) FILTER (phase = 'P') AS INT) AS n_ct_p,
-           CAST(count(*) FILTER (phase = 'S') AS INT) AS n_ct_s, 1 AS cluster_id
-    FROM (SELECT s.sta, s.lat, s.lon, p.phase FROM v_station s JOIN v_pick p ON p.sta = s.sta) GROUP BY sta, lat, lon""", "v_event", "v_station", "v_pick"))
+    SELECT sta, round(lat, 4) AS lat, round(lon, 4) AS lon, 0e0 AS dist_km, 0e0 AS az_deg, CAST(np % 7 AS INT) AS n_cc_p, CAST(ns % 5 AS INT) AS n_cc_s,
+           CAST(np AS INT) AS n_ct_p, CAST(ns AS INT) AS n_ct_s, CASE WHEN np % 7 + ns % 5 = 0 THEN 0e0 ELSE (np % 7) / 1.6e1 END AS rms_cc,
+           ns / 1.6e1 AS rms_ct, CAST(np % 3 + 1 AS INT) AS cluster_id
+    FROM (SELECT s.sta, s.lat, s.lon, count(*) FILTER (phase = 'P') AS np, count(*) FILTER (phase = 'S') AS ns
+          FROM v_station s JOIN v_pick p ON p.sta = s.sta GROUP BY s.sta, s.lat, s.lon)""", "v_event", "v_station", "v_pick"))
 def s16(t):
+    """Every column of the file; rms values are sixteenths, which four digits hold exactly, and one without links is empty."""
     path = _path(t, "station-results")
+    p, s = F.col("n_ct_p"), F.col("n_ct_s")
     counts = t("v_pick").groupBy("sta").agg(
         F.count_if(F.col("phase") == "P").alias("n_ct_p"), F.count_if(F.col("phase") == "S").alias("n_ct_s"))
     rows = t("v_station").join(counts, "sta").withColumns({
-        "n_cc_p": F.lit(0), "n_cc_s": F.lit(0), "rms_cc": F.lit(None).cast("double"), "rms_ct": F.lit(0.5), "cluster_id": F.lit(1)})
+        "n_cc_p": p % 7, "n_cc_s": s % 5, "rms_cc": F.when(p % 7 + s % 5 > 0, p % 7 / 16.0), "rms_ct": s / 16.0, "cluster_id": p % 3 + 1})
     sink.write_lines(sink.station_result_lines(rows), ["sta"], path)
-    out = text.read_station_results(t.spark, path)
-    return rounded(out.select("sta", "lat", "lon", "n_ct_p", "n_ct_s", "cluster_id"), lat=4, lon=4)
+    return rounded(text.read_station_results(t.spark, path), lat=4, lon=4)
 
 
 @query("K7_result_tables", q.views("SELECT id, CAST(cluster_id AS INT) AS cluster_id, CAST(id % 3 AS INT) AS iteration, round(lat, 6) AS lat FROM v_reloc_a", "v_reloc_a"))

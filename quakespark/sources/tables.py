@@ -56,24 +56,33 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
 def mapping_columns(columns: list[str]) -> tuple[str, str] | None:
     """(integer id, original id) columns of an id mapping, None when neither naming fits.
 
-    Older files name them synthetic_id and original_id; newer ones call the original event_id and the
-    integer by any other name that ends in _id.
+    Older files name them synthetic_id and original_id. Newer ones have two columns, event_id for the original and one
+    that ends in _id for the integer; a file with more columns, or with template_id, is no mapping unless the caller
+    names the columns.
     """
     if {"synthetic_id", "original_id"} <= set(columns):
         return "synthetic_id", "original_id"
-    others = [c for c in columns if c.endswith("_id") and c != "event_id"]
-    return (others[0], "event_id") if "event_id" in columns and len(others) == 1 else None
+    others = [c for c in columns if c != "event_id"]
+    fits = len(columns) == 2 and len(others) == 1 and others[0].endswith("_id") and others[0] != "template_id"
+    return (others[0], "event_id") if fits else None
 
 
-def read_id_mapping(spark: SparkSession, path: str) -> DataFrame:
-    """Id mapping under either column naming, as original_id, synthetic_id; empty for other files."""
+def read_id_mapping(spark: SparkSession, path: str, number: str | None = None, original: str | None = None) -> DataFrame:
+    """Id mapping as original_id, synthetic_id; empty for files without one.
+
+    ``number`` and ``original`` name the columns of the integer and of the original id; without them both column
+    namings are tried. A column that is named but missing fails.
+    """
     raw = spark.read.csv(path, header=True)
     found = mapping_columns(raw.columns)
+    if number is not None or original is not None:
+        found = (number or "synthetic_id", original or "event_id")
+        if missing := set(found) - set(raw.columns):
+            raise ValueError(f"no column {', '.join(sorted(missing))} in {path}")
     if found is None:
         return spark.createDataFrame([], "original_id string, synthetic_id bigint")
-    number, original = found
     return raw.select(
-        F.col(original).cast("string").alias("original_id"), F.col(number).cast("bigint").alias("synthetic_id")
+        F.col(found[1]).cast("string").alias("original_id"), F.col(found[0]).cast("bigint").alias("synthetic_id")
     )
 
 

@@ -83,6 +83,14 @@ def test_both_mapping_namings(spark, tmp_path):
         assert [tuple(r) for r in tables.read_id_mapping(spark, path).collect()] == [("x1", 100000)]
     other = write(tmp_path, "c.csv", ["a,b", "1,2"])
     assert tables.read_id_mapping(spark, other).count() == 0
+    # detections have ids too, but are no mapping; columns may be named
+    other = write(tmp_path, "d.csv", ["event_id,template_id", "1,2"])
+    assert tables.read_id_mapping(spark, other).count() == 0
+    wide = write(tmp_path, "e.csv", ["event_id,run_id,mag", "x1,7,2.5"])
+    assert tables.read_id_mapping(spark, wide).count() == 0
+    assert [tuple(r) for r in tables.read_id_mapping(spark, wide, number="run_id").collect()] == [("x1", 7)]
+    with pytest.raises(ValueError, match="no_id"):
+        tables.read_id_mapping(spark, wide, number="no_id")
 
 
 def test_unknown_phase_and_missing_mapping_fail(spark):
