@@ -308,6 +308,25 @@ def r18(t):
     return rounded(moved.select("id", "lat", "lon", "depth_km", "x", "y", "z", "t", "ex", "ey", "ez", "et"), lat=6, lon=6, depth_km=6, x=1, y=2, z=3)
 
 
+@query("F18_states", q.views("""
+    SELECT CAST(cluster_id AS BIGINT) AS cluster_id, CAST(CASE WHEN n - lost >= 2 AND lost = 0 THEN pos + 1 ELSE pos END AS INT) AS iteration,
+           CAST(CASE WHEN n - lost >= 2 AND lost > 0 THEN 1 ELSE 0 END AS INT) AS n_redo,
+           CASE WHEN n - lost < 2 THEN 'skipped' WHEN lost = 0 AND pos + 1 > 2 THEN 'done' ELSE 'active' END AS status, n - lost >= 2 AND lost = 0 AS moves
+    FROM (SELECT cluster_id, 1 + cluster_id % 2 AS pos, CASE WHEN cluster_id = 5 THEN 0 ELSE count(*) END AS n,
+                 CASE WHEN cluster_id % 3 = 0 THEN 0 ELSE count(*) FILTER (cluster_id < 4 AND depth_km + (id % 13) * -1.5e0 < 0) END AS lost
+          FROM v_reloc_a GROUP BY cluster_id)""", "v_reloc_a"))
+def f18_states(t):
+    """What a step makes of clusters: redone without air quakes, moved on, done, or skipped for want of a solution."""
+    rows = t("v_reloc_a").withColumn("cluster_id", F.col("cluster_id").cast("bigint"))
+    number = F.col("cluster_id")
+    state = rows.select("cluster_id").distinct().select(
+        "cluster_id", (1 + number % 2).cast("int").alias("iteration"), F.lit(0).alias("n_redo"), F.lit(rel.ACTIVE).alias("status"),
+        F.lit(2).alias("last"), (number % 3 != 0).alias("removes"))
+    step = rows.filter(number < 5).select("id", "cluster_id", (F.col("id") % 13 * -1500.0).alias("dz"))
+    air = rel.air_quakes(step.filter(number < 4), rows)
+    return rel.next_state(state, step, air).drop("last", "removes")
+
+
 @query("F18_air_quakes", q.views("SELECT id FROM v_event WHERE depth_km + (id % 13 - 6) * -1.5e0 < 0", "v_event"))
 def f18(t):
     return rel.air_quakes(_step(t), _start(t)).select("id")
