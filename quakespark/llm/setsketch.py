@@ -5,9 +5,10 @@ cut to 16 bits. The union of two sets has the larger register of both, and as ``
 register with a chance of about their similarity. Documents that agree in all registers of a band share a bucket.
 
 A bucket is first reduced by leaders: each member is verified against one of them, what is linked is one component.
-What is then still apart within a bucket is compared register by register, tile by tile, and verified unless the
-likelihood excludes the similarity asked for. No pair of a bucket is left out, and pairs that are linked already are
-not formed.
+What is then still apart within a bucket is compared register by register, tile by tile. Members with a partner that the
+likelihood does not exclude meet again in tiles with their full sets, where all such pairs are verified, each in the
+first band it shares, until what is linked in the tiles is one component. No pair of a bucket is left out, and no pair
+is a row of its own.
 """
 
 from __future__ import annotations
@@ -36,8 +37,8 @@ BASE, LARGEST, RATE = 1.001, (1 << 16) - 1, 20.0
 DOUBT = 14.0
 #: Rounds of leaders; they only save comparisons.
 ROUNDS = 3
-#: Members of a tile, on average.
-TILE = 128
+#: Members of a tile that holds registers, and shingles of one that holds sets, on average.
+TILE, TILE_SHINGLES = 512, 1 << 19
 
 _SEED = 42
 _HELD = 1 << 20
@@ -46,7 +47,8 @@ _CELLS = 1 << 22
 
 def bands(at_least: tuple[int, int] = AT_LEAST) -> int:
     """Bands by which two sets of that similarity miss each other with a chance of ``MISS``."""
-    return math.ceil(math.log(MISS) / math.log1p(-((at_least[0] / at_least[1]) ** ROWS)))
+    agree = (at_least[0] / at_least[1]) ** ROWS
+    return 1 if agree >= 1 else math.ceil(math.log(MISS) / math.log1p(-agree))
 
 
 @functools.cache
@@ -105,17 +107,10 @@ def _chance(x: np.ndarray) -> np.ndarray:
     return np.maximum(-np.log1p(-x * (BASE - 1) / BASE) / math.log(BASE), 1e-300)
 
 
-def possible(more: np.ndarray, less: np.ndarray, m: int, n_a: np.ndarray, n_b: np.ndarray, at_least: tuple[int, int]) -> np.ndarray:
-    """Whether sets of ``n_a`` and ``n_b`` members may be as similar as ``at_least``, judged by all their registers.
-
-    Of ``m`` registers of the first ``more`` are larger and ``less`` smaller than the second's. The similarity that
-    makes these counts likeliest is found; a pair is out if the sizes forbid, or if that similarity is too small and
-    ``at_least`` is e^-``DOUBT`` times less likely.
-    """
-    low, high = np.minimum(n_a, n_b), np.maximum(n_a, n_b)
-    fits = low * at_least[1] >= high * at_least[0]
+def _peak(more: np.ndarray, less: np.ndarray, m: int, n_a: np.ndarray, n_b: np.ndarray, asked: float) -> np.ndarray:
+    """Whether the likeliest similarity reaches ``asked``, or is no more than e^``DOUBT`` times likelier."""
     u, v = n_a / (n_a + n_b), n_b / (n_a + n_b)
-    top = low / np.maximum(high, 1)
+    top = np.minimum(n_a, n_b) / np.maximum(n_a, n_b)
 
     def score(j: np.ndarray) -> np.ndarray:
         larger, smaller = _chance(np.maximum(u - v * j, 0)), _chance(np.maximum(v - u * j, 0))
@@ -128,8 +123,32 @@ def possible(more: np.ndarray, less: np.ndarray, m: int, n_a: np.ndarray, n_b: n
         up = score(c) < score(d)
         a, b = np.where(up, c, a), np.where(up, b, d)
     best = (a + b) / 2
-    asked = np.minimum(at_least[0] / at_least[1], top)
-    return fits & ((best >= asked) | (score(best) - score(asked) <= DOUBT))
+    least = np.minimum(asked, top)
+    return (best >= least) | (score(best) - score(least) <= DOUBT)
+
+
+@functools.cache
+def _too_few(m: int, asked: float) -> int:
+    """Equal registers that are far too few at similarity ``asked``: e^-(3 ``DOUBT``) by the binomial bound."""
+    k = np.arange(1, math.ceil(m * asked))
+    share = k / m
+    gap = m * (share * np.log(share / asked) + (1 - share) * np.log((1 - share) / (1 - asked))) if asked < 1 else np.full(len(k), np.inf)
+    return int(k[gap > 3 * DOUBT].max(initial=-1))
+
+
+def possible(more: np.ndarray, less: np.ndarray, m: int, n_a: np.ndarray, n_b: np.ndarray, at_least: tuple[int, int]) -> np.ndarray:
+    """Whether sets of ``n_a`` and ``n_b`` members may be as similar as ``at_least``, judged by all their registers.
+
+    Of ``m`` registers of the first ``more`` are larger and ``less`` smaller than the second's. The similarity that
+    makes these counts likeliest is found; a pair is out if the sizes forbid, or if that similarity is too small and
+    ``at_least`` is e^-``DOUBT`` times less likely. Pairs with next to no equal registers are out without the search.
+    """
+    asked = at_least[0] / at_least[1]
+    found = np.minimum(n_a, n_b) * at_least[1] >= np.maximum(n_a, n_b) * at_least[0]
+    found &= m - more - less > _too_few(m, asked)
+    at = np.flatnonzero(found)
+    found[at] = _peak(more[at], less[at], m, n_a[at], n_b[at], asked)
+    return found
 
 
 def alike(a: np.ndarray, b: np.ndarray, at_least: tuple[int, int]) -> bool:
@@ -166,10 +185,10 @@ def sketches(docs: DataFrame, shingle: int, n: int) -> DataFrame:
 
 
 def _buckets(classes: DataFrame, n_bands: int) -> DataFrame:
-    """(key, node, n): the classes by the registers of each band, where two of them agree in a band."""
+    """(key, band, node, n): the classes by the registers of each band, where two of them agree in a band."""
     width = 2 * ROWS
     keys = F.array(*(F.xxhash64(F.lit(i), F.substring("registers", width * i + 1, width)) for i in range(n_bands)))
-    keyed = classes.select(F.explode(keys).alias("key"), "node", "n")
+    keyed = classes.select(F.posexplode(keys).alias("band", "key"), "node", "n")
     shared = checkpointed(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key"))
     return checkpointed(may_match(keyed, shared, ["key"]).join(shared, "key", "left_semi"))
 
@@ -209,47 +228,96 @@ def _estimated(pairs: DataFrame, classes: DataFrame, at_least: tuple[int, int])
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(run, "a bigint, b bigint")
 
 
-def _tiles(placed: DataFrame, classes: DataFrame) -> DataFrame:
-    """(key, tile, only, members): large components of a bucket have tiles of their own (``only``), small ones share some."""
-    sizes = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c")).withColumn("large", F.col("c") >= TILE)
+def _tiles(placed: DataFrame, weight: Column, most: int) -> DataFrame:
+    """``placed`` with its tile of a weight of ``most``: large components of a bucket have tiles of their own (``only``)."""
+    sizes = placed.groupBy("key", "comp").agg(F.sum(weight).alias("c")).withColumn("large", F.col("c") >= most)
     pool = sizes.filter(~F.col("large")).groupBy("key").agg(F.sum("c").alias("pool"))
-    share = lambda what, c: F.pmod(F.xxhash64(what), F.ceil(F.col(c) / TILE))
-    dealt = (
+    share = lambda what, c: F.pmod(F.xxhash64(what), F.ceil(F.col(c) / most))
+    return (
         placed.join(sizes, ["key", "comp"]).join(pool, "key", "left")
         .withColumn("only", F.when(F.col("large"), F.col("comp")))
         .withColumn("tile", F.when(F.col("large"), F.xxhash64("comp", share("node", "c"))).otherwise(share("comp", "pool")))
-    )
-    members = F.struct("node", "comp", "n", "registers")
-    return checkpointed(
-        dealt.select("key", "tile", "only", "node", "comp").join(classes.select("node", "n", "registers"), "node")
-        .groupBy("key", "tile", "only").agg(F.collect_list(members).alias("m"))
+        .drop("c", "large", "pool")
     )
 
 
-def _apart(placed: DataFrame, classes: DataFrame, at_least: tuple[int, int]) -> DataFrame:
-    """(a, b): all pairs of nodes that share a bucket, are in different components and are not excluded by their registers."""
-    tiles = _tiles(placed, classes)
-    side = lambda x: tiles.select("key", F.col("tile").alias(f"tile_{x}"), F.col("only").alias(f"only_{x}"), *(F.col(f"m.{c}").alias(f"{c}_{x}") for c in ("node", "comp", "n", "registers")))
-    met = side("a").join(side("b"), "key").filter("tile_a < tile_b AND NOT (only_a <=> only_b AND only_a IS NOT NULL) OR tile_a = tile_b AND only_a IS NULL AND only_b IS NULL")
+def _met(members: DataFrame, columns: list[str]) -> DataFrame:
+    """The pairs of tiles of a bucket that hold different components, with arrays of ``columns`` for each side."""
+    tiles = checkpointed(members.groupBy("key", "band", "tile", "only").agg(F.collect_list(F.struct(*columns)).alias("m")))
+    side = lambda x: tiles.select(
+        "key", "band", *(F.col(c).alias(f"{c}_{x}") for c in ("tile", "only")), *(F.col(f"m.{c}").alias(f"{c}_{x}") for c in columns))
+    mixed = "tile_a < tile_b AND NOT (only_a <=> only_b AND only_a IS NOT NULL) OR tile_a = tile_b AND only_a IS NULL AND only_b IS NULL"
+    return side("a").join(side("b"), ["key", "band"]).filter(mixed)
+
+
+def _open_pairs(row, at_least: tuple[int, int]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Places (i, j) of the pairs of a row of ``_met`` in different components whose registers do not exclude a link, with
+    the number of equal registers; a pair counts in the first band in which it agrees."""
+    a, b = (np.frombuffer(b"".join(r), "<u2").reshape(len(r), -1) for r in (row.registers_a, row.registers_b))
+    low = np.minimum.outer(row.n_a, row.n_b) * at_least[1]
+    met = (low >= np.maximum.outer(row.n_a, row.n_b) * at_least[0]) & (row.comp_a[:, None] != row.comp_b[None, :])
+    if row.tile_a == row.tile_b:
+        met &= row.node_a[:, None] < row.node_b[None, :]
+    i, j = np.nonzero(met)
+    m = a.shape[1]
+    step = max(1, _CELLS // m)
+    for at in range(0, len(i), step):
+        x, y = i[at : at + step], j[at : at + step]
+        equal = a[x] == b[y]
+        same = equal.sum(1)
+        few = same > _too_few(m, at_least[0] / at_least[1])
+        x, y, equal, same = x[few], y[few], equal[few], same[few]
+        here = equal.reshape(len(x), m // ROWS, ROWS).all(2).argmax(1) == row.band
+        x, y, same = x[here], y[here], same[here]
+        more = (a[x] > b[y]).sum(1)
+        yes = possible(more, m - same - more, m, row.n_a[x], row.n_b[y], at_least)
+        yield x[yes], y[yes], same[yes]
+
+
+def _close(placed: DataFrame, classes: DataFrame, sets: _Sets, at_least: tuple[int, int]) -> DataFrame:
+    """(a, b): verified links that connect the nodes of every bucket of ``placed`` as all pairs would, as far as they are apart."""
+    known = classes.select("node", "registers")
+    names = ["node", "comp", "n", "registers"]
+
+    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples():
+                found = [(row.node_a[x], row.node_b[y]) for x, y, _ in _open_pairs(row, at_least)]
+                nodes = np.unique(np.concatenate([z for xy in found for z in xy])) if found else []
+                if len(nodes):
+                    yield pd.DataFrame({"key": row.key, "node": nodes})
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    met = _met(_tiles(placed, F.lit(1), TILE).join(known, "node"), names)
+    open_ = checkpointed(met.mapInPandas(mark, "key bigint, node bigint").distinct())
+    full = sets.of(open_.select("node").distinct())
+
+    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples():
-                a, b = (np.frombuffer(b"".join(r), "<u2").reshape(len(r), -1) for r in (row.registers_a, row.registers_b))
-                low = np.minimum.outer(row.n_a, row.n_b) * at_least[1]
-                met = (low >= np.maximum.outer(row.n_a, row.n_b) * at_least[0]) & (row.comp_a[:, None] != row.comp_b[None, :])
-                if row.tile_a == row.tile_b:
-                    met &= row.node_a[:, None] < row.node_b[None, :]
-                i, j = np.nonzero(met)
-                step = max(1, _CELLS // a.shape[1])
-                for at in range(0, len(i), step):
-                    x, y = i[at : at + step], j[at : at + step]
-                    more, less = (a[x] > b[y]).sum(1), (a[x] < b[y]).sum(1)
-                    yes = possible(more, less, a.shape[1], row.n_a[x], row.n_b[y], at_least)
-                    yield pd.DataFrame({"a": row.node_a[x[yes]], "b": row.node_b[y[yes]]})
-
-    found = met.mapInPandas(run, "a bigint, b bigint")
-    return found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+                pairs = [np.concatenate(v) for v in zip(*_open_pairs(row, at_least), strict=True)]
+                if not pairs or not len(pairs[0]):
+                    continue
+                a, b = ([np.frombuffer(v, np.uint64) for v in r] for r in (row.shingles_a, row.shingles_b))
+                group = {c: c for c in {*row.comp_a.tolist(), *row.comp_b.tolist()}}
+
+                def top(c: int, group: dict = group) -> int:
+                    while group[c] != c:
+                        group[c] = c = group[group[c]]
+                    return c
+
+                links = []
+                for k in np.argsort(-pairs[2], kind="stable"):  # the likeliest first, so that most others are linked by then
+                    x, y = pairs[0][k], pairs[1][k]
+                    left, right = top(int(row.comp_a[x])), top(int(row.comp_b[y]))
+                    if left != right and alike(a[x], b[y], at_least):
+                        group[left] = right
+                        links.append((row.node_a[x], row.node_b[y]))
+                if links:
+                    yield pd.DataFrame(links, columns=["a", "b"])
+
+    again = placed.join(open_, ["key", "node"], "left_semi")
+    members = _tiles(again, F.col("n"), TILE_SHINGLES).join(known, "node").join(full, "node")
+    return checkpointed(_met(members, [*names, "shingles"]).mapInPandas(verify, "a bigint, b bigint"))
 
 
 class _Sets:
@@ -301,10 +369,9 @@ def linked(docs: DataFrame, classes: DataFrame, shingle: int, at_least: tuple[in
         if placed.isEmpty():
             break
         if salt is None:
-            pairs = _apart(placed, classes, at_least)
+            new = _close(placed, classes, sets, at_least)
         else:
-            pairs = _estimated(_led(placed, salt, at_least), classes, at_least)
-        new = _verified(pairs, sets, at_least)
+            new = _verified(_estimated(_led(placed, salt, at_least), classes, at_least), sets, at_least)
         if not new.isEmpty():
             links = new if links is None else links.unionByName(new)
             component = checkpointed(connected_components(links))

@@ -155,6 +155,7 @@ def test_families(docs):
 def test_without_leaders_in_small_tiles(docs, monkeypatch):
     monkeypatch.setattr(setsketch, "ROUNDS", 0)
     monkeypatch.setattr(setsketch, "TILE", 3)
+    monkeypatch.setattr(setsketch, "TILE_SHINGLES", 400)
     rows = near_texts(5, 3, 12, 6)
     assert found(setsketch.near_duplicates(docs(rows), 3, (85, 100))) == plain(rows)
 
@@ -162,6 +163,7 @@ def test_without_leaders_in_small_tiles(docs, monkeypatch):
 def test_large_components_apart_in_a_bucket(docs, monkeypatch):
     monkeypatch.setattr(setsketch, "ROUNDS", 1)
     monkeypatch.setattr(setsketch, "TILE", 2)
+    monkeypatch.setattr(setsketch, "TILE_SHINGLES", 150)
     rows = near_texts(11, 1, 36, 9)
     truth = plain(rows, 3, (80, 100))
     assert len({r[2] for r in truth}) > 1
