@@ -68,6 +68,7 @@ class RelocationParams:
     cluster: int | None = None
     min_weight: float = 1e-5
     mode: str = "layered"             # 'layered', 'straight' or 'station'
+    errors: bool = True               # probe the errors of clusters of several solver blocks in last steps
 
     @property
     def n_iterations(self) -> int:
