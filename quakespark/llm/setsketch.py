@@ -35,14 +35,14 @@ ROWS, MISS = 6, 1e-6
 BASE, LARGEST, RATE = 1.001, (1 << 16) - 1, 20.0
 #: A pair is left unverified if its registers are e to this power less likely at the asked similarity than at the best one.
 DOUBT = 14.0
-#: Rounds of leaders; they only save comparisons.
-ROUNDS = 3
+#: Rounds of leaders; they only save comparisons, and each costs a pass over the buckets and components anew.
+ROUNDS = 1
 #: Members of a tile that holds registers, and shingles of one that holds sets, on average.
-TILE, TILE_SHINGLES = 512, 1 << 19
+TILE, TILE_SHINGLES = 512, 1 << 17
 
 _SEED = 42
 _HELD = 1 << 20
-_CELLS = 1 << 22
+_CELLS = 1 << 21
 
 
 def bands(at_least: tuple[int, int] = AT_LEAST) -> int:
