@@ -127,3 +127,64 @@ def test_no_links_gives_no_pairs(spark):
     e, k = spark.createDataFrame(events, EVENTS), spark.createDataFrame(picks, PICKS)
     nowhere = spark.createDataFrame([("X", 0.0, 0.0, 0.0)], STATIONS)
     assert pairing.differential_times(e, k, nowhere, PairParams(max_sep=5.0, min_obs=1)).count() == 0
+
+
+def crowded(spark, n_spots=12, at_spot=25, seed=9):
+    """Events at few places, each with all picks of eight stations: everything is linked with everything near."""
+    rng = random.Random(seed)
+    events, picks = [], []
+    for i in range(n_spots * at_spot):
+        k = i % n_spots
+        events.append((i, i, 40.3 + k * 0.004, -124.5, 10.0))
+        picks += [(i, 16 * i + j, f"S{j // 2}", "PS"[j % 2], 4.0 + rng.uniform(0, 0.1), rng.choice([1.0, -1.0])) for j in range(16)]
+    stations = [(f"S{s}", 40.0 + s / 10, -124.9 + s / 12, 0.1) for s in range(7)]
+    frames = [spark.createDataFrame(r, c) for r, c in ((events, EVENTS), (picks, PICKS), (stations, STATIONS))]
+    return (events, picks, stations), frames
+
+
+def test_crowded_places_are_searched_without_forming_all_pairs(spark, monkeypatch):
+    rows, (e, k, s) = crowded(spark)
+    p = PairParams(max_sep=5.0, max_neighbours=3)
+    monkeypatch.setattr(pairing, "DIRECT_PAIRS", 100)
+    monkeypatch.setattr(pairing, "candidate_pairs", lambda *_, **__: pytest.fail("all pairs are formed"))
+    matched, match = [], pairing.match_picks
+    monkeypatch.setattr(pairing, "match_picks", lambda pairs, *a, **b: matched.append(pairs.count()) or match(pairs, *a, **b))
+    chosen, first = pairing.pairing_inputs(e, k, p)
+    found = pairing.linked_pairs(chosen, first, s, p).collect()
+    assert {(r.id1, r.id2): r.n_links for r in found} == walk(*rows, p)
+    assert sum(matched) <= 10 * len(rows[0])  # all pairs within 5 km: some 30,000
+
+
+def test_funnel_looks_only_at_pairs_that_are_reached(spark, monkeypatch):
+    _, (e, k, s) = crowded(spark, n_spots=4, at_spot=20)
+    p = PairParams(max_sep=5.0, max_neighbours=3)
+    want = {r.metric: r.value for r in pairing.selection_funnel(e, k, s, p).collect()}
+    monkeypatch.setattr(pairing, "DIRECT_PAIRS", 100)
+    monkeypatch.setattr(pairing, "candidate_pairs", lambda *_, **__: pytest.fail("all pairs are formed"))
+    got = {r.metric: r.value for r in pairing.selection_funnel(e, k, s, p).collect()}
+    assert got == pytest.approx(want) and got["unknown_station"] > 0
+
+
+def test_links_of_a_pair_are_never_shuffled(spark):
+    """Pairs are: after the links are formed, counting and ranking them needs no exchange."""
+    _, (e, k, s) = crowded(spark, n_spots=2, at_spot=4)
+    p = PairParams(max_sep=5.0)
+    chosen, first = pairing.pairing_inputs(e, k, p)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        links = pairing.match_picks(pairing.candidate_pairs(chosen, p.max_sep), first, s, p.max_dist)
+        plan = pairing.pair_counts(links)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "Exchange" not in plan[: plan.index("Generate inline")]
+
+
+def test_stations_listed_twice_count_twice(spark):
+    _, (e, k, s) = crowded(spark, n_spots=1, at_spot=2)
+    p = PairParams(max_sep=5.0)
+    chosen, first = pairing.pairing_inputs(e, k, p)
+    pairs = pairing.candidate_pairs(chosen, p.max_sep)
+    once, twice = (pairing.match_picks(pairs, first, x, p.max_dist) for x in (s, s.union(s)))
+    count = lambda df: sorted((r["status"], r["count"]) for r in df.groupBy("status").count().collect())
+    assert count(once) == [("ok", 14), ("unknown", 2)] and count(twice) == [("ok", 28), ("unknown", 2)]
