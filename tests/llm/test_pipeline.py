@@ -26,7 +26,7 @@ def test_oracles(spark, name):
 def test_registered():
     names = set(__spark_entry__.queries())
     assert set(queries.QUERIES) <= names and set(queries.ORACLES) <= set(__spark_entry__.oracle_sql())
-    assert {n.split("_")[0] for n in queries.QUERIES} == {"pipeline", *(f"op{i}" for i in range(1, 11))}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {"pipeline", *(f"op{i}" for i in range(1, 14))}
 
 
 def test_pipeline(spark):
