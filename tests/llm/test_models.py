@@ -149,6 +149,28 @@ def test_toxicity_without_labels(spark, docs):
     assert toxicity.scores(docs([]), label_table(spark, [(1, 1, 1)])).collect() == []
 
 
+def test_every_labelled_document_is_learned_from(spark, docs):
+    """Each text has a word of its own, which its language has to know."""
+    rng = random.Random(9)
+    rows = [(i, f"word{i} " + ("grobian" if i % 20 == 0 else "friend"), rng.choice(["aa", "bb"]), "s") for i in range(6000)]
+    model = toxicity.train(docs(rows), label_table(spark, [(i, 1, int(i % 20 == 0)) for i in range(6000)]))
+    memory = toxicity._Buckets()
+    unseen = model.languages.min(0)
+    for i, text, lang, _ in rows:
+        assert model.languages[toxicity.buckets_of(text, memory)[0, 0], "ab".index(lang[0])] > unseen["ab".index(lang[0])], i
+
+
+def test_parts_learn_side_by_side(spark, docs, monkeypatch):
+    monkeypatch.setattr(toxicity, "PART_DOCS", 100)
+    rows, labels = toxic_rows(2000)
+    out, again = (toxicity.scores(docs(rows), label_table(spark, labels)).collect() for _ in range(2))
+    assert {r.doc_id: r.score for r in out} == {r.doc_id: r.score for r in again}
+    truth = {i: t for i, _, t in labels}
+    hits = [(truth[r.doc_id], r.predicted) for r in out if r.held_out]
+    good = sum(a == b == 1 for a, b in hits)
+    assert good >= 0.9 * sum(a for a, _ in hits) > 10 and good >= 0.9 * sum(b for _, b in hits)
+
+
 def test_sliced_text_scores_as_a_whole(monkeypatch):
     rows, labels = toxic_rows(300)
     memory = toxicity._Buckets()
