@@ -86,8 +86,8 @@ def residual_factor(cutoff: Column) -> Column:
 # Median and MAD
 
 
-def exact_median(df: DataFrame, keys: list[str], value: str, name: str, accuracy: int = 10000) -> DataFrame:
-    """Exact median per group for groups of any size.
+def exact_median(df: DataFrame, keys: list[str], value: str, name: str, accuracy: int = 10000, few: bool = False) -> DataFrame:
+    """Exact median per group for groups of any size; ``few`` groups are broadcast, so that ``df`` is not shuffled.
 
     A bounded sketch brackets the median, the values below the bracket are only counted, and the ranks
     are found among the few distinct values inside it. A bracket that misses fails the job.
@@ -95,7 +95,7 @@ def exact_median(df: DataFrame, keys: list[str], value: str, name: str, accuracy
     low, high = 0.5 - 2.0 / accuracy, 0.5 + 2.0 / accuracy
     cuts = F.percentile_approx(value, F.array(F.lit(low), F.lit(high)), F.lit(accuracy))
     bracket = df.groupBy(*keys).agg(cuts.alias("_q"), F.count(value).alias("_n"))
-    placed = df.filter(F.col(value).isNotNull()).join(bracket, keys)
+    placed = df.filter(F.col(value).isNotNull()).join(F.broadcast(bracket) if few else bracket, keys)
     at = (
         placed.filter(F.col(value) <= F.col("_q")[1])
         .withColumn("_v", F.when(F.col(value) >= F.col("_q")[0], F.col(value)))
@@ -119,9 +119,10 @@ def spreads(links: DataFrame, keys: list[str]) -> DataFrame:
     """Median and scaled MAD of the residuals, separately for correlation and catalog links."""
     typed = links.select(*keys, is_cc().alias("cc"), "res")
     by = [*keys, "cc"]
-    med = exact_median(typed, by, "res", "med")
-    dev = typed.join(med, by).withColumn("dev", F.abs(F.col("res") - F.col("med")))
-    mad = exact_median(dev, by, "dev", "mad").withColumn("mad", F.col("mad") / MAD_SCALE)
+    few = not keys      # two groups; a shuffle by them would deal all links to two tasks
+    med = exact_median(typed, by, "res", "med", few=few)
+    dev = typed.join(F.broadcast(med) if few else med, by).withColumn("dev", F.abs(F.col("res") - F.col("med")))
+    mad = exact_median(dev, by, "dev", "mad", few=few).withColumn("mad", F.col("mad") / MAD_SCALE)
     return med.join(mad, by)
 
 
@@ -144,6 +145,8 @@ def weights(links: DataFrame, p: IterationParams | Column, keys: list[str] | Non
     wt = links.withColumn("wt", prior_weight(p) * distance_factor(F.col("offs_m"), p))
     if spread:
         by_type = spreads(links, keys).select(*keys, F.col("cc").alias("_cc"), "mad")
+        if not keys:
+            by_type = F.broadcast(checkpointed(by_type))     # two rows, found once
         for k in keys:
             by_type = by_type.withColumnRenamed(k, f"_{k}")
         condition = is_cc().eqNullSafe(F.col("_cc"))

@@ -70,7 +70,7 @@ def residual_links(t: Tables) -> DataFrame:
 def weighted_links(t: Tables, rays: bool = False) -> DataFrame:
     """Links with residuals and weights; with ``rays`` also the rays that residuals were formed from."""
     links = residual_links(t)
-    return checkpointed(weights.weights(links if rays else links.drop("ray1", "ray2"), STEP, []))
+    return weights.weights(links if rays else links.drop("ray1", "ray2"), STEP, [])   # formed from a written table
 
 
 LOADER = LinkParams(
