@@ -3,7 +3,9 @@
 import math
 import random
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from quakespark.operators import pairing
 from quakespark.params import PairParams
@@ -188,3 +190,32 @@ def test_stations_listed_twice_count_twice(spark):
     once, twice = (pairing.match_picks(pairs, first, x, p.max_dist) for x in (s, s.union(s)))
     count = lambda df: sorted((r["status"], r["count"]) for r in df.groupBy("status").count().collect())
     assert count(once) == [("ok", 14), ("unknown", 2)] and count(twice) == [("ok", 28), ("unknown", 2)]
+
+
+def test_links_formed_in_cells_are_those_of_all_pairs(spark):
+    """Also with split cells, and where the later event is the probe; pairs and links pass no shuffle."""
+    _, (e, k, s) = crowded(spark, n_spots=6, at_spot=5)
+    k = k.withColumn("tt", F.col("tt") + F.col("seq") % 7 / 5.0)     # some links are outliers, and t1 differs from t2
+    p = PairParams(max_sep=5.0)
+    chosen, first = pairing.pairing_inputs(e, k, p)
+    want = pairing.match_picks(pairing.candidate_pairs(chosen, p.max_sep), first, s, p.max_dist)
+    for hot_cell in (None, 2):
+        got = pairing.candidate_links(chosen, first, s, p.max_sep, p.max_dist, hot_cell=hot_cell)
+        assert got.columns == want.columns
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+        assert {r["status"] for r in got.select("status").distinct().collect()} >= {"ok", "outlier", "unknown"}
+        counts = pairing.counts_in_place(got)
+        assert sorted(map(tuple, counts.collect())) == sorted(map(tuple, pairing.pair_counts(want).collect()))
+        plan = counts._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan[: plan.index("Join")] and plan.index("Generate inline") < plan.index("Join")
+
+
+def test_runs_are_counted_across_batches():
+    """A pair whose links end in a later batch has one row."""
+    pairs = [1, 1, 1, 2, 2, 2, 2, 2, 3]
+    rows = [(p, 10 + p, p, 10 + p, 0.5, 1, i % 2, 1 - i % 2) for i, p in enumerate(pairs)]
+    names = ["id1", "id2", "ord1", "ord2", "sep", "n_links", "n_p", "n_s"]
+    table = pa.table({n: [r[i] for r in rows] for i, n in enumerate(names)})
+    for size in (1, 2, 4, 100):
+        counted = pa.Table.from_batches(pairing._count_runs(iter(table.to_batches(max_chunksize=size)))).to_pylist()
+        assert [(r["id1"], r["n_links"], r["n_p"], r["n_s"]) for r in counted] == [(1, 3, 1, 2), (2, 5, 3, 2), (3, 1, 0, 1)]
