@@ -1,7 +1,12 @@
 """What the queries on links share: the links are made once, and statistics do not carry rays."""
 
+import pathlib
+import time
+
 from compare import DATA
+from pyspark.sql import functions as F
 
+from quakespark import session
 from quakespark.operators import links as lnk
 from quakespark.operators import weights
 from quakespark.registry import common as c
@@ -45,3 +50,17 @@ def test_separation_is_worked_out_for_pairs(spark):
     found = lnk.with_separation(links, events)
     assert sorted((r.sta, r.sep_km) for r in found.collect()) == [("S1", 3.0), ("S2", 3.0), ("S2", 3.0)]
     assert "Aggregate [id1" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    """They would stay until the driver collects garbage, and add up over the steps of a query."""
+    folders = [pathlib.Path(f.getPath()) for f in spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {p for f in folders for p in f.rglob("shuffle_*.data")}
+    before, setting = files(), spark.conf.get(session.DROP_SHUFFLES)
+    counts = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    table = session.checkpointed(counts)
+    until = time.monotonic() + 20
+    while files() - before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not files() - before and spark.conf.get(session.DROP_SHUFFLES) == setting
+    assert table.count() == 7 and counts.count() == 7     # what was written can be worked out again
