@@ -2,8 +2,8 @@
 
 A chunk is what stands between white space, with A-Z lower-cased. Chunks are counted in each document and added up over
 blocks of documents before anything is shuffled, so the largest share a chunk can have is a row per block. A
-dictionary then holds every chunk of the corpus once, with its terms; joined back to the blocks it gives a term's
-occurrences. The documents of a term are counted where that is open: a term is in at least as many as its commonest
+dictionary then holds every chunk of the corpus once, with its terms and its occurrences in each group of documents,
+and gives those of a term without another look at the blocks. The documents of a term are counted where that is open: a term is in at least as many as its commonest
 chunk and in at most as many as all its chunks together. For terms between, no chunk of which is common, the
 documents themselves are listed and told apart.
 """
@@ -17,6 +17,7 @@ from itertools import count
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -30,8 +31,10 @@ LEAST_DOCS = 30
 TOP = 50
 SCALE, PRIOR = 1_000_000_000, 5
 
-#: (document, chunk) entries of a block at most, but for the last document's own.
-_BLOCK = 1_500_000
+#: (document, chunk) entries of a block at most, but for those of the last portion of texts.
+_BLOCK = 3_000_000
+#: Bytes of the texts that are cut into chunks together.
+_PORTION = 1 << 20
 _ROWS = 50_000
 #: Cells of a table of terms by sources that a task holds at once; where a language has many sources a tile has as
 #: many terms as sources, if the second number allows, so that it gives fewer sums than it has cells.
@@ -45,46 +48,62 @@ class _Block:
 
     def __init__(self, least: int):
         self.least = least
-        self.chunks: dict[bytes, int] = defaultdict(count().__next__)
-        self.docs: list[tuple[int, tuple[str, str]]] = []
-        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.chunks: list[pa.Array] = []  # those of each portion; a chunk's number is its place in all of them
+        self.n_chunks = 0
+        self.groups: dict[tuple[str, str], int] = defaultdict(count().__next__)
+        self.rids: list[int] = []
+        self.group_of: list[int] = []
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         self.size = 0
 
     def add(self, rid: int, text: str, group: tuple[str, str]) -> None:
-        words = text.encode().lower().split()
-        if not words:
-            return
-        ids = np.fromiter(map(self.chunks.__getitem__, words), np.int32, len(words))
-        self.parts.append(np.unique(ids, return_counts=True))
-        self.docs.append((rid, group))
-        self.size += len(self.parts[-1][0])
+        self.extend([rid], pa.array([text], pa.string()), [group])
+
+    def extend(self, rids: list[int], texts: pa.Array, groups: list[tuple[str, str]]) -> None:
+        """Add documents whose texts are cut into chunks together."""
+        cut = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+        doc = np.repeat(np.arange(len(self.rids), len(self.rids) + len(rids)), pc.list_value_length(cut).to_numpy())
+        self.rids += rids
+        self.group_of += map(self.groups.__getitem__, groups)
+        words = cut.flatten().dictionary_encode()
+        chunk = words.indices.to_numpy()
+        if (none := pc.index(words.dictionary, "").as_py()) >= 0:  # what white space at the ends leaves
+            doc, chunk = doc[chunk != none], chunk[chunk != none]
+        entries, n = np.unique(doc << 32 | chunk, return_counts=True)
+        self.parts.append(((entries & 0xFFFFFFFF).astype(np.int32) + self.n_chunks, (entries >> 32).astype(np.int32), n.astype(np.int32)))
+        self.size += len(entries)
+        self.chunks.append(words.dictionary)
+        self.n_chunks += len(words.dictionary)
 
     def rows(self) -> Iterator[pa.RecordBatch]:
         """A row per chunk and language; the documents are listed where there are fewer than ``least``."""
         if not self.size:
             return
-        groups = sorted({g for _, g in self.docs})
-        place = {g: i for i, g in enumerate(groups)}
-        lengths = np.array([len(ids) for ids, _ in self.parts])
-        chunk = np.concatenate([ids for ids, _ in self.parts]).astype(np.int64)
-        group = np.repeat([place[g] for _, g in self.docs], lengths)
-        order = np.argsort(chunk * len(groups) + group, kind="stable")
-        chunk, group = chunk[order], group[order]
-        n = np.concatenate([c for _, c in self.parts])[order]
-        rid = np.repeat(np.array([r for r, _ in self.docs], np.int64), lengths)[order]
+        groups = sorted(self.groups)
+        place = np.argsort([self.groups[g] for g in groups])  # numbers of groups in their order
+        chunk, doc, n = (np.concatenate([p[i] for p in self.parts]) for i in range(3))
+        self.parts = []
+        names = pa.concat_arrays(self.chunks).dictionary_encode()
+        self.chunks = []
+        chunk = names.indices.to_numpy()[chunk]
+        names = names.dictionary
+        group = place.astype(np.int32)[self.group_of][doc]
+        order = np.argsort(chunk.astype(np.int64) * len(groups) + group)
+        chunk, group, n = chunk[order], group[order], n[order]
+        rid = np.array(self.rids, np.int64)[doc[order]]
+        del doc, order
         langs = sorted({lang for lang, _ in groups})
-        lang = np.array([langs.index(g[0]) for g in groups])[group]
+        lang = np.array([langs.index(g[0]) for g in groups], np.int32)[group]
 
         first_of_row = np.r_[True, (np.diff(chunk) != 0) | (np.diff(lang) != 0)]
         first_of_group = first_of_row | np.r_[True, np.diff(group) != 0]
         rows, cells = np.flatnonzero(first_of_row), np.flatnonzero(first_of_group)
         df = np.diff(np.r_[rows, len(chunk)])
-        counts = np.add.reduceat(n, cells)
+        counts = np.add.reduceat(n, cells, dtype=np.int64)
         cell_borders = np.r_[np.searchsorted(cells, rows), len(cells)]
         rare = df < self.least
         listed = rid[np.repeat(rare, df)]
         doc_borders = np.r_[0, np.cumsum(np.where(rare, df, 0))]
-        names = pa.array(list(self.chunks), pa.binary()).cast(pa.string())
         sources = pa.array([s for _, s in groups], pa.string())
         for a in range(0, len(rows), _ROWS):
             z = min(a + _ROWS, len(rows))
@@ -97,12 +116,22 @@ class _Block:
                     pa.array(df[a:z].astype(np.int64)),
                     pa.ListArray.from_arrays(pa.array((doc_borders[a : z + 1] - d0).astype(np.int32)), pa.array(listed[d0:d1])),
                     pa.ListArray.from_arrays(borders, sources.take(pa.array(group[cells[c0:c1]]))),
-                    pa.ListArray.from_arrays(borders, pa.array(counts[c0:c1].astype(np.int64))),
+                    pa.ListArray.from_arrays(borders, pa.array(counts[c0:c1])),
                 ],
                 [c.split()[0] for c in _COUNTED.split(", ")],
             )
 
 
+def _portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows whose texts have about ``_PORTION`` bytes together; a longer text alone."""
+    ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(), dtype=np.int64)
+    a = 0
+    while a < len(ends):
+        z = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + _PORTION, "right")))
+        yield batch.slice(a, z - a)
+        a = z
+
+
 def chunk_counts(docs: DataFrame, least: int = LEAST_DOCS) -> DataFrame:
     """(chunk, lang, df, docs, sources, counts): chunks by block and language, for rows (rid, text, lang, source) without nulls.
 
@@ -113,8 +142,9 @@ def chunk_counts(docs: DataFrame, least: int = LEAST_DOCS) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = _Block(least)
         for batch in batches:
-            for rid, text, lang, source in zip(*(batch.column(c).to_pylist() for c in ("rid", "text", "lang", "source")), strict=True):
-                block.add(rid, text, (lang, source))
+            for part in _portions(batch):
+                rids, langs, sources = (part.column(c).to_pylist() for c in ("rid", "lang", "source"))
+                block.extend(rids, part.column("text"), list(zip(langs, sources, strict=True)))
                 if block.size >= _BLOCK:
                     yield from block.rows()
                     block = _Block(least)
@@ -124,38 +154,54 @@ def chunk_counts(docs: DataFrame, least: int = LEAST_DOCS) -> DataFrame:
 
 
 def dictionary(counted: DataFrame) -> DataFrame:
-    """(chunk, terms, langs): every chunk once, its terms in order, and for each language the documents that have it."""
-    by_lang = counted.select("chunk", "lang", "df").repartition("chunk").groupBy("chunk", "lang").agg(F.sum("df").alias("df"))
-    whole = by_lang.groupBy("chunk").agg(F.collect_list(F.struct("lang", "df")).alias("langs"))  # an entry per language
+    """(chunk, terms, langs, cells): every chunk once, its terms in order, and where it is.
+
+    ``langs`` has the documents of each language, ``cells`` the occurrences ``n`` in each source of a language; a row
+    holds as many as there are groups of documents.
+    """
+    rows = counted.select("chunk", "lang", "df", "sources", "counts").repartition("chunk")
+    cells = rows.select("chunk", "lang", "df", "counts", F.posexplode("sources").alias("at", "source")).select(
+        "chunk", "lang", "source", F.when(F.col("at") == 0, F.col("df")).otherwise(0).alias("df"), F.get("counts", "at").alias("n")
+    )
+    cells = cells.groupBy("chunk", "lang", "source").agg(F.sum("df").alias("df"), F.sum("n").alias("n"))
+    whole = cells.groupBy("chunk").agg(F.collect_list(F.struct("lang", "source", "df", "n")).alias("cells"))  # an entry per group
     terms = F.regexp_extract_all("chunk", F.lit(TERM), F.lit(0))
-    return whole.select("chunk", terms.alias("terms"), "langs").filter(F.size("terms") > 0)
+    df_of = lambda lang: F.aggregate("cells", F.lit(0).cast("bigint"), lambda s, c: s + F.when(c["lang"] == lang, c["df"]).otherwise(0))
+    several = F.transform(F.array_distinct("cells.lang"), lambda x: F.struct(x.alias("lang"), df_of(x).alias("df")))
+    one = F.array(F.struct(F.get("cells.lang", F.lit(0)).alias("lang"), F.get("cells.df", F.lit(0)).alias("df")))
+    langs = F.when(F.size("cells") == 1, one).otherwise(several)
+    return whole.select("chunk", terms.alias("terms"), langs.alias("langs"), "cells").filter(F.size("terms") > 0)
 
 
-def kept_terms(counted: DataFrame, chunks: DataFrame, least: int = LEAST_DOCS) -> tuple[DataFrame, DataFrame]:
-    """(lang, term) of the terms in ``least`` documents of their language, and (lang, chunk, term, times) that hold them."""
-    times = F.transform(
+def _times() -> Column:
+    """The different terms of a chunk, and how often it has each."""
+    one = F.array(F.struct(F.get("terms", F.lit(0)).alias("term"), F.lit(1).alias("times")))
+    several = F.transform(
         F.array_distinct("terms"), lambda t: F.struct(t.alias("term"), F.size(F.filter("terms", lambda x: x == t)).alias("times"))
     )
-    held = chunks.select("chunk", F.explode("langs").alias("l"), "terms").select(
-        "l.lang", "chunk", "l.df", F.explode(F.when(F.size("terms") == 1, F.array(F.struct(F.get("terms", F.lit(0)).alias("term"), F.lit(1).alias("times")))).otherwise(times)).alias("t")
-    ).select("lang", "chunk", "df", "t.*")
+    return F.explode(F.when(F.size("terms") == 1, one).otherwise(several))
+
+
+def kept_terms(counted: DataFrame, chunks: DataFrame, least: int = LEAST_DOCS) -> DataFrame:
+    """(lang, term) of the terms in ``least`` documents of their language."""
+    held = chunks.select("chunk", F.explode("langs").alias("l"), "terms").select("l.lang", "chunk", "l.df", _times().alias("t"))
+    held = held.select("lang", "chunk", "df", "t.term")
     bounds = held.groupBy("lang", "term").agg(F.max("df").alias("low"), F.sum("df").alias("high"))
     bounds = checkpointed(bounds.filter(F.col("high") >= least).select("lang", "term", (F.col("low") >= least).alias("sure")))
-    wanted = checkpointed(may_match(held.drop("df"), bounds, ["lang", "term"]).join(bounds, ["lang", "term"]))
 
-    open_ = wanted.filter(~F.col("sure")).select("lang", "chunk", "term")
+    wanted = bounds.filter(~F.col("sure")).select("lang", "term")
+    open_ = checkpointed(may_match(held.drop("df"), wanted, ["lang", "term"]).join(wanted, ["lang", "term"]))
     listed = may_match(counted.select("lang", "chunk", "docs").filter(F.size("docs") > 0), open_, ["lang", "chunk"])
     found = listed.join(open_, ["lang", "chunk"]).select("lang", "term", F.explode("docs").alias("rid")).distinct()
     more = found.groupBy("lang", "term").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
-    kept = checkpointed(bounds.filter("sure").select("lang", "term").unionByName(more.select("lang", "term")))
-    return kept, checkpointed(wanted.drop("sure").join(kept, ["lang", "term"], "left_semi"))
+    return checkpointed(bounds.filter("sure").select("lang", "term").unionByName(more.select("lang", "term")))
 
 
-def term_counts(counted: DataFrame, held: DataFrame) -> DataFrame:
-    """(lang, source, term, n): occurrences of the kept terms, from the chunks that hold them."""
-    near = may_match(counted.select("lang", "chunk", "sources", "counts"), held, ["lang", "chunk"])
-    cells = near.join(held, ["lang", "chunk"]).select("lang", "term", "times", F.explode(F.arrays_zip("sources", "counts")).alias("c"))
-    return cells.groupBy("lang", F.col("c.sources").alias("source"), "term").agg(F.sum(F.col("c.counts") * F.col("times")).alias("n"))
+def term_counts(chunks: DataFrame, kept: DataFrame) -> DataFrame:
+    """(lang, source, term, n): occurrences of the ``kept`` terms, from the dictionary."""
+    cells = chunks.select(F.explode("cells").alias("c"), "terms").select("c.lang", "c.source", "c.n", _times().alias("t"))
+    cells = may_match(cells.select("lang", "source", "t.term", (F.col("n") * F.col("t.times")).alias("n")), kept, ["lang", "term"])
+    return cells.groupBy("lang", "source", "term").agg(F.sum("n").alias("n")).join(kept, ["lang", "term"], "left_semi")
 
 
 def _share(n: Column, total: Column, terms: Column) -> Column:
@@ -209,8 +255,8 @@ def audit(docs: DataFrame, least: int = LEAST_DOCS, top: int = TOP, cells: int =
     read = docs.select(F.monotonically_increasing_id().alias("rid"), *(F.coalesce(c, empty).alias(c) for c in ("text", "lang", "source")))
     counted = checkpointed(chunk_counts(read, least))
     chunks = checkpointed(dictionary(counted))
-    kept, held = kept_terms(counted, chunks, least)
-    counts = checkpointed(term_counts(counted, held))
+    kept = kept_terms(counted, chunks, least)
+    counts = checkpointed(term_counts(chunks, kept))
 
     zero = F.lit(0).cast("bigint")
     n_terms = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("n_terms"))

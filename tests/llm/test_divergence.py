@@ -116,3 +116,42 @@ def test_no_rows(table):
 def test_no_term_is_kept(table):
     docs = [("a b", "en", "s"), ("c", "en", "t"), (None, "en", "u")]
     assert found(divergence.audit(table(docs))) == brute(docs, 30)
+
+
+def test_dictionary_knows_where_a_chunk_is(spark):
+    from pyspark.sql import functions as F
+
+    rows = [("a,b A-a", "en", "s"), ("a,b  a,b", "en", "t"), ("a,b\n", "de", "s"), ("", "fr", "s")]
+    read = spark.createDataFrame(rows, "text string, lang string, source string").withColumn("rid", F.monotonically_increasing_id())
+    chunks = divergence.dictionary(divergence.chunk_counts(read, 9)).cache()
+    cells = {r.chunk: sorted((c.lang, c.source, c.n) for c in r.cells) for r in chunks.collect()}
+    assert cells == {"a,b": [("de", "s", 1), ("en", "s", 1), ("en", "t", 2)], "a-a": [("en", "s", 1)]}
+    kept = spark.createDataFrame([("en", "a"), ("de", "b"), ("fr", "a")], "lang string, term string")
+    got = sorted((r.lang, r.source, r.term, r.n) for r in divergence.term_counts(chunks, kept).collect())
+    assert got == [("de", "s", "b", 1), ("en", "s", "a", 3), ("en", "t", "a", 2)]
+
+
+@pytest.mark.parametrize("size", [1, 40, 1 << 20])
+def test_portions_of_texts_change_nothing(size, monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(divergence, "_PORTION", size)
+    docs = [(t or "", lang or "", s or "") for t, lang, s in some_docs(3)]
+    texts, langs, sources = (pa.array(x) for x in zip(*docs, strict=True))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(docs))), texts, langs, sources], ["rid", "text", "lang", "source"])
+    block = divergence._Block(5)
+    parts = list(divergence._portions(batch))
+    assert sum(p.num_rows for p in parts) == len(docs) and (size > 40 or len(parts) > 60)
+    for p in parts:
+        rids, langs, sources = (p.column(c).to_pylist() for c in ("rid", "lang", "source"))
+        block.extend(rids, p.column("text"), list(zip(langs, sources, strict=True)))
+    got = {(r["chunk"], r["lang"]): r for b in block.rows() for r in b.to_pylist()}
+    counts, df = Counter(), defaultdict(set)
+    for rid, (text, lang, source) in enumerate(docs):
+        for word in text.encode().lower().split():
+            counts[word.decode(), lang, source] += 1
+            df[word.decode(), lang].add(rid)
+    assert got.keys() == df.keys()
+    assert {k: len(v) for k, v in df.items()} == {k: r["df"] for k, r in got.items()}
+    assert all(sorted(r["docs"]) == (sorted(df[k]) if len(df[k]) < 5 else []) for k, r in got.items())
+    assert counts == {(*k, s): n for k, r in got.items() for s, n in zip(r["sources"], r["counts"], strict=True)}
