@@ -122,8 +122,8 @@ class _Remembered(dict):
     def __init__(self, bpe: Bpe):
         self._bpe = bpe
 
-    def __missing__(self, word: str) -> list[int]:
-        ids = self._bpe.merge(raw := word.encode())
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        ids = tuple(self._bpe.merge(raw := word.encode()))
         if len(raw) <= SHORT:
             if len(self) >= REMEMBERED:
                 self.clear()

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -39,10 +41,29 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+#: Bytes of the texts that a task turns into Python strings together.
+PORTION = 1 << 22
+
+
+def portions(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
+    """Rows whose texts have about ``size`` bytes together; a longer text alone."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(), dtype=np.int64)
+    a = 0
+    while a < len(ends):
+        z = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + size, "right")))
+        yield batch.slice(a, z - a)
+        a = z
+
+
+def release_memory() -> None:
+    """Give back what Arrow holds of batches that are gone; a Python worker waits for its next task with it otherwise."""
+    pa.default_memory_pool().release_unused()
+
+
 def from_text(docs: DataFrame, columns: str, compute: Callable[[], Callable[[list], list[tuple]]]) -> DataFrame:
     """``docs`` with ``columns`` (a DDL list), computed from whole texts, in place of ``text``; the others pass unchanged.
 
-    ``compute()`` is called once for a task and gives the function from a batch of texts to a tuple for each.
+    ``compute()`` is called once for a task and gives the function from some texts to a tuple for each.
     """
     new = StructType.fromDDL(columns)
     rest = [f for f in docs.schema.fields if f.name != "text"]
@@ -50,9 +71,11 @@ def from_text(docs: DataFrame, columns: str, compute: Callable[[], Callable[[lis
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = compute()
         for batch in batches:
-            rows = function(batch.column("text").to_pylist())
+            rows = [r for part in portions(batch, PORTION) for r in function(part.column("text").to_pylist())]
             made = [pa.array([r[i] for r in rows]) for i in range(len(new))]
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in rest), *made], [f.name for f in (*rest, *new)])
+            del batch, rows, made
+            release_memory()
 
     return docs.mapInArrow(run, StructType([*rest, *new]))
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quakespark.llm.common import may_match
+from quakespark.llm.common import may_match, portions, release_memory
 from quakespark.session import checkpointed
 
 #: Maximal runs without these are terms.
@@ -122,16 +122,6 @@ class _Block:
             )
 
 
-def _portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Rows whose texts have about ``_PORTION`` bytes together; a longer text alone."""
-    ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(), dtype=np.int64)
-    a = 0
-    while a < len(ends):
-        z = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + _PORTION, "right")))
-        yield batch.slice(a, z - a)
-        a = z
-
-
 def chunk_counts(docs: DataFrame, least: int = LEAST_DOCS) -> DataFrame:
     """(chunk, lang, df, docs, sources, counts): chunks by block and language, for rows (rid, text, lang, source) without nulls.
 
@@ -142,13 +132,14 @@ def chunk_counts(docs: DataFrame, least: int = LEAST_DOCS) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = _Block(least)
         for batch in batches:
-            for part in _portions(batch):
+            for part in portions(batch, _PORTION):
                 rids, langs, sources = (part.column(c).to_pylist() for c in ("rid", "lang", "source"))
                 block.extend(rids, part.column("text"), list(zip(langs, sources, strict=True)))
                 if block.size >= _BLOCK:
                     yield from block.rows()
                     block = _Block(least)
         yield from block.rows()
+        release_memory()
 
     return docs.select("rid", "text", "lang", "source").mapInArrow(run, _COUNTED)
 

@@ -12,7 +12,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quakespark.llm.common import fold
+from quakespark.llm.common import fold, release_memory
 
 #: Documents of each language that the probabilities are learned from, in expectation.
 TRAIN_DOCS = 300
@@ -25,7 +25,7 @@ PRIOR = 0.02
 #: Words whose scores a task remembers, and words scored together.
 REMEMBERED, TOGETHER = 1 << 19, 1 << 14
 #: Characters of the texts whose words are looked up together.
-PORTION = 1 << 22
+PORTION = 1 << 20
 #: Characters up to which a word's probability needs no scale.
 SHORT = 24
 UNDETERMINED = "und"
@@ -261,6 +261,8 @@ def prediction(spark: SparkSession, model: Model, text: str | Column) -> Column:
                     scorer.total(list(fresh))
                 found += [scorer.predict(words) for words in lists]
             yield pd.DataFrame(found, columns=["lang_pred", "score"])
+            del texts, found
+            release_memory()
 
     return predict(text)
 

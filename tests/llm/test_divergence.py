@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from quakespark.llm import divergence
+from quakespark.llm.common import portions
 
 
 def lower(text):
@@ -132,15 +133,14 @@ def test_dictionary_knows_where_a_chunk_is(spark):
 
 
 @pytest.mark.parametrize("size", [1, 40, 1 << 20])
-def test_portions_of_texts_change_nothing(size, monkeypatch):
+def test_portions_of_texts_change_nothing(size):
     import pyarrow as pa
 
-    monkeypatch.setattr(divergence, "_PORTION", size)
     docs = [(t or "", lang or "", s or "") for t, lang, s in some_docs(3)]
     texts, langs, sources = (pa.array(x) for x in zip(*docs, strict=True))
     batch = pa.RecordBatch.from_arrays([pa.array(range(len(docs))), texts, langs, sources], ["rid", "text", "lang", "source"])
     block = divergence._Block(5)
-    parts = list(divergence._portions(batch))
+    parts = list(portions(batch, size))
     assert sum(p.num_rows for p in parts) == len(docs) and (size > 40 or len(parts) > 60)
     for p in parts:
         rids, langs, sources = (p.column(c).to_pylist() for c in ("rid", "lang", "source"))
