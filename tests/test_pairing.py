@@ -219,3 +219,16 @@ def test_runs_are_counted_across_batches():
     for size in (1, 2, 4, 100):
         counted = pa.Table.from_batches(pairing._count_runs(iter(table.to_batches(max_chunksize=size)))).to_pylist()
         assert [(r["id1"], r["n_links"], r["n_p"], r["n_s"]) for r in counted] == [(1, 3, 1, 2), (2, 5, 3, 2), (3, 1, 0, 1)]
+
+
+def _join_and_exchange(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.index("Join"), plan.index("Exchange")
+
+
+def test_station_distances_shuffle_no_pair(spark):
+    from compare import DATA
+    from quakespark.registry import QUERIES
+
+    join, exchange = _join_and_exchange(QUERIES["F7_station_distance"](spark, DATA))
+    assert join < exchange      # nothing above the join that forms the pairs
