@@ -232,3 +232,23 @@ def test_station_distances_shuffle_no_pair(spark):
 
     join, exchange = _join_and_exchange(QUERIES["F7_station_distance"](spark, DATA))
     assert join < exchange      # nothing above the join that forms the pairs
+
+
+@pytest.mark.parametrize("max_dist", [200.0, 40.0])
+def test_neighbour_order_is_that_of_all_pairs(spark, monkeypatch, max_dist):
+    """Also with events of one place, unknown stations, outliers, stations too far away or listed twice, and missing times; no pair is shuffled."""
+    from pyspark.sql import Window
+
+    monkeypatch.setattr(pairing, "ROWS_AT_ONCE", 10)
+    events, picks, stations = catalog(8, 70, 15)
+    e, s = spark.createDataFrame(events, EVENTS), spark.createDataFrame(stations + stations[:2], STATIONS)
+    k = spark.createDataFrame(picks, PICKS).withColumn("tt", F.when(F.col("seq") % 11 > 0, F.col("tt") + F.col("seq") % 7 / 5.0))
+    chosen, first = pairing.pairing_inputs(e, k, PairParams(max_sep=5.0))
+    counts = pairing.pair_counts(pairing.match_picks(pairing.candidate_pairs(chosen, 5.0), first, s, max_dist))
+    place = F.row_number().over(Window.partitionBy("ev").orderBy("sep", "nb_ord"))
+    want = pairing.directed(counts).select("ev", "nb", place.alias("place"))
+    got = pairing.neighbour_order(chosen, first, s, 5.0, max_dist)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert got.count() > 0
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("MapInArrow") < plan.index("Exchange") and "Window" not in plan
