@@ -252,3 +252,26 @@ def test_neighbour_order_is_that_of_all_pairs(spark, monkeypatch, max_dist):
     assert got.count() > 0
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert plan.index("MapInArrow") < plan.index("Exchange") and "Window" not in plan
+
+
+def test_a_sweep_forms_no_pairs_of_dense_regions_and_leaves_no_table(spark, monkeypatch):
+    """Every run searches as if alone; runs that differ in the links of a pair only share their pairs."""
+    import pathlib
+
+    from quakespark import session
+    from quakespark.plans import workflows
+
+    rows, (e, k, s) = crowded(spark, n_spots=4, at_spot=20)
+    monkeypatch.setattr(pairing, "DIRECT_PAIRS", 100)
+    direct = pairing.candidate_pairs
+    monkeypatch.setattr(pairing, "candidate_pairs", lambda events, *a: direct(events, *a) if events.isEmpty() else pytest.fail("all pairs are formed"))
+    p = PairParams(max_sep=5.0, max_neighbours=3)
+    cut = PairParams(max_sep=5.0, max_neighbours=3, max_obs=2)
+    folder = pathlib.Path(session.ensure_checkpoint_dir(spark).removeprefix("file:"))
+    before = {f.name for f in folder.iterdir()}
+    found = {r.run_id: r for r in workflows.sweep_pairing(e, k, s, {"a": p, "cut": cut, "none": PairParams(min_obs=2000)}).collect()}
+    assert {f.name for f in folder.iterdir()} == before
+    pairs = walk(*rows, p)
+    assert (found["a"].n_pairs, found["a"].n_links) == (len(pairs), sum(pairs.values()))
+    assert found["cut"].n_pairs == len(pairs) and 2 * len(pairs) <= found["cut"].n_links < found["a"].n_links
+    assert tuple(found["none"]) == ("none", 0, 0, None)
