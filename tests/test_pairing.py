@@ -254,6 +254,14 @@ def test_neighbour_order_is_that_of_all_pairs(spark, monkeypatch, max_dist):
     assert plan.index("MapInArrow") < plan.index("Exchange") and "Window" not in plan
 
 
+def test_candidate_pairs_read_the_chosen_events_from_a_table(spark):
+    from compare import DATA
+    from quakespark.registry import QUERIES
+
+    plan = QUERIES["J3_candidate_pairs"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert "events.parquet" not in plan and "SortMergeJoin" not in plan[: plan.index("ShuffledHashJoin")]
+
+
 def test_a_sweep_forms_no_pairs_of_dense_regions_and_leaves_no_table(spark, monkeypatch):
     """Every run searches as if alone; runs that differ in the links of a pair only share their pairs."""
     import pathlib
